@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tierflow.operators.checks import MART_RESULT_SCHEMA, RESULT_SCHEMA, run_checks
 from tierflow.plans.course_checks import CHECKS, checked, mart_tests
-from tierflow.plans.course_mart import build_mart
+from tierflow.plans.course_mart import MART_TABLES, Mart
 from tierflow.plans.course_tables import CLEANERS, INTERACTION, RAW_COLUMNS, RAW_FILES
 from tierflow.sources.files import read_csv_strings
 from tierflow.sources.tables import write_ordered, write_slice
@@ -63,11 +63,15 @@ class CourseStore:
         return self.spark.read.schema(RESULT_SCHEMA).parquet(self.path("validation", "staging"))
 
     def mart(self, clean: dict[str, DataFrame]) -> dict[str, DataFrame]:
-        return {table: self.write("mart", table, df) for table, df in build_mart(clean).items()}
+        """Dimensions first, so that the facts are gated on the written tables."""
+        mart = Mart(clean)
+        for table in MART_TABLES:
+            setattr(mart, table, self.write("mart", table, getattr(mart, table)))
+        return {table: getattr(mart, table) for table in MART_TABLES}
 
     def validate_mart(self, mart: dict[str, DataFrame]) -> DataFrame:
         """Append the outcome of the mart tests to their history."""
-        mart_tests(mart).write.mode("append").parquet(self.path("validation", "data_quality_results"))
+        mart_tests(mart["fact_assessments"], mart["fact_vle_interactions"]).write.mode("append").parquet(self.path("validation", "data_quality_results"))
         path = self.path("validation", "data_quality_results")
         return self.spark.read.schema(MART_RESULT_SCHEMA).parquet(path).orderBy(F.desc("test_timestamp"))
 

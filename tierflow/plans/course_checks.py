@@ -330,6 +330,11 @@ CHECKS: dict[str, tuple[Check, ...]] = {
 }
 
 
+def tables_read(name: str) -> list[str]:
+    """The table itself and the parents its checks look keys up in."""
+    return [name, *sorted({check.rule.parent for check in CHECKS[name] if isinstance(check.rule, Orphans)})]
+
+
 def checked(
     name: str,
     clean: Mapping[str, DataFrame],
@@ -337,15 +342,14 @@ def checked(
     owner: str = "data quality",
 ) -> CheckedTable:
     """A course table with its raw form, its parents and its checks."""
-    parents = {check.rule.parent for check in CHECKS[name] if isinstance(check.rule, Orphans)}
-    return CheckedTable(
-        name, clean[name], CHECKS[name], raw[name], {parent: clean[parent] for parent in parents}, owner=owner
-    )
+    parents = {parent: clean[parent] for parent in tables_read(name)[1:]}
+    return CheckedTable(name, clean[name], CHECKS[name], raw[name], parents, owner=owner)
 
 
-def mart_tests(mart: Mapping[str, DataFrame], interaction_grain: tuple[str, ...] = INTERACTION) -> DataFrame:
+def mart_tests(
+    submissions: DataFrame, interactions: DataFrame, interaction_grain: tuple[str, ...] = INTERACTION
+) -> DataFrame:
     """Present students and unique grain in both facts."""
-    submissions, interactions = mart["fact_assessments"], mart["fact_vle_interactions"]
     tests = [
         not_null_test(submissions, "fact_assessments", "id_student"),
         not_null_test(interactions, "fact_vle_interactions", "id_student"),

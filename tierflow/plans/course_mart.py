@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -116,24 +117,61 @@ def fact_assessments(
     )
 
 
-def build_mart(clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """All mart tables, dimensions first."""
-    spark = clean["courses"].sparkSession
-    course = dim_course(clean["courses"])
-    presentation = dim_module_presentation(clean["courses"], course)
-    date = dim_date(spark)
-    student = dim_student(clean["student_info"])
-    return {
-        "dim_course": course,
-        "dim_module_presentation": presentation,
-        "dim_date": date,
-        "dim_student": student,
-        "dim_enrolment": dim_enrolment(clean["student_info"], clean["student_registration"]),
-        "dim_demographics": dim_demographics(clean["student_info"], student),
-        "fact_vle_interactions": fact_vle_interactions(
-            clean["student_vle"], clean["vle"], student, presentation, date
-        ),
-        "fact_assessments": fact_assessments(
-            clean["student_assessment"], clean["assessments"], student, presentation, date
-        ),
-    }
+class Mart:
+    """The mart tables over the clean ones, each planned when it is first asked for."""
+
+    def __init__(self, clean: Mapping[str, DataFrame]):
+        self.clean = clean
+
+    @cached_property
+    def dim_course(self) -> DataFrame:
+        return dim_course(self.clean["courses"])
+
+    @cached_property
+    def dim_module_presentation(self) -> DataFrame:
+        return dim_module_presentation(self.clean["courses"], self.dim_course)
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        return dim_date(next(iter(self.clean.values())).sparkSession)
+
+    @cached_property
+    def dim_student(self) -> DataFrame:
+        return dim_student(self.clean["student_info"])
+
+    @cached_property
+    def dim_enrolment(self) -> DataFrame:
+        return dim_enrolment(self.clean["student_info"], self.clean["student_registration"])
+
+    @cached_property
+    def dim_demographics(self) -> DataFrame:
+        return dim_demographics(self.clean["student_info"], self.dim_student)
+
+    @cached_property
+    def fact_vle_interactions(self) -> DataFrame:
+        return fact_vle_interactions(
+            self.clean["student_vle"], self.clean["vle"], self.dim_student, self.dim_module_presentation, self.dim_date
+        )
+
+    @cached_property
+    def fact_assessments(self) -> DataFrame:
+        return fact_assessments(
+            self.clean["student_assessment"],
+            self.clean["assessments"],
+            self.dim_student,
+            self.dim_module_presentation,
+            self.dim_date,
+        )
+
+
+# The mart tables, dimensions first.
+MART_TABLES = (
+    "dim_course",
+    "dim_module_presentation",
+    "dim_date",
+    "dim_student",
+    "dim_enrolment",
+    "dim_demographics",
+    "fact_vle_interactions",
+    "fact_assessments",
+)

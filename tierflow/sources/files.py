@@ -17,17 +17,21 @@ def string_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in columns])
 
 
-def read_csv_strings(spark: SparkSession, path: str | list[str], columns: Sequence[str]) -> DataFrame:
-    """CSV with a header as strings, plus the rescued text of misshapen lines and the file lineage.
+def read_csv_strings(
+    spark: SparkSession, path: str | list[str], columns: Sequence[str], header: bool = True
+) -> DataFrame:
+    """CSV as strings, plus the rescued text of misshapen lines and the file lineage.
 
-    The rescued column makes Spark parse whole lines, so only this raw read does it; later layers read Parquet.
+    Whole lines are parsed whatever is selected, so only this raw read uses CSV; later layers read Parquet.
     """
     schema = string_schema([*columns, RESCUED])
     lines = (
         spark.read.schema(schema)
-        .option("header", True)
+        .option("header", header)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", RESCUED)
+        # A pruned read skips the fields that show a line to be misshapen.
+        .option("columnPruning", False)
         .csv(path)
     )
     return lines.select(

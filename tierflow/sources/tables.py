@@ -88,10 +88,15 @@ def constant_rows(spark: SparkSession, column: str, values: Sequence[str]) -> Da
     return spark.range(1).select(F.explode(items).alias(column))
 
 
-def day_spine(spark: SparkSession, first: int | Column = -30, last: int | Column = 300, name: str = "date") -> DataFrame:
+def day_spine(spark: SparkSession, first: int = -30, last: int = 300, name: str = "date") -> DataFrame:
     """One row per day offset from `first` to `last`."""
-    days = F.sequence(F.lit(first), F.lit(last))
-    return spark.range(1).select(F.explode(days).cast("int").alias(name))
+    return spark.range(1).select(F.explode(F.sequence(F.lit(first), F.lit(last))).alias(name))
+
+
+def day_spine_of(df: DataFrame, day: Column, name: str = "date") -> DataFrame:
+    """One row per day offset between the first and the last day of a table."""
+    bounds = df.agg(F.min(day).alias("_first"), F.max(day).alias("_last"))
+    return bounds.select(F.explode(F.sequence("_first", "_last")).alias(name))
 
 
 def read_back(df: DataFrame, *order: Column | str) -> DataFrame:
