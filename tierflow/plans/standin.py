@@ -60,7 +60,7 @@ def _enrolments(spark: SparkSession, folder: str) -> DataFrame:
         ((year - 1995) * 2 + second).alias("presentation_no"),
         _module(key % 7).alias("module"),
         F.concat(year.cast("string"), F.when(second == 1, "J").otherwise("B")).alias("presentation"),
-        (F.floor(key / 3) + 1).alias("student"),
+        F.expr("o_orderkey div 3 + 1").alias("student"),
     )
 
 
