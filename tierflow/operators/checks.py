@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from decimal import Decimal
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -128,22 +130,22 @@ class CheckedTable:
     owner: str = "data quality"
 
 
-def _parts(df: DataFrame, table: str, counts: Sequence[tuple[str, Column, Column]]) -> DataFrame | None:
-    """One pass over `df`: an aggregate row, turned into one (table, check, total, fail) row per check."""
-    if not counts:
-        return None
-    totals = [total.alias(f"t{i}") for i, (_, total, _) in enumerate(counts)]
-    fails = [fail.alias(f"f{i}") for i, (_, _, fail) in enumerate(counts)]
-    rows = [
-        F.struct(
-            F.lit(table).alias("table_name"),
-            F.lit(check_id).alias("check_id"),
-            F.col(f"t{i}").cast("bigint").alias("total"),
-            F.col(f"f{i}").cast("bigint").alias("fail"),
-        )
+def _parts(df: DataFrame, table: str, counts: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """One pass over `df`: an aggregate row, turned into one (table, check, total, fail) row per check.
+
+    The counts are SQL texts, which keeps a plan of many checks cheap to build.
+    """
+    figures = [f"{sql} AS {name}{i}" for i, (_, *both) in enumerate(counts) for name, sql in zip("tf", both, strict=True)]
+    rows = ", ".join(
+        f"named_struct('table_name', '{table}', 'check_id', '{check_id}', "
+        f"'total', CAST(t{i} AS BIGINT), 'fail', CAST(f{i} AS BIGINT))"
         for i, (check_id, _, _) in enumerate(counts)
-    ]
-    return df.agg(*totals, *fails).select(F.inline(F.array(*rows)))
+    )
+    return df.selectExpr(*figures).selectExpr(f"inline(array({rows}))")
+
+
+def _listed(columns: Iterable[str]) -> str:
+    return ", ".join(f"`{column}`" for column in columns)
 
 
 def _tally(table: CheckedTable) -> list[DataFrame]:
@@ -153,75 +155,61 @@ def _tally(table: CheckedTable) -> list[DataFrame]:
     counts of each side a third, so that Spark's row expansion for distinct counts stays off the wide pass.
     A raw-to-clean difference is the sum of a positive and a negative part, each taken in a pass that runs anyway.
     """
-    rows = F.count(F.lit(1))
-    none = F.lit(0)
-    simple: dict[str, list[tuple[str, Column, Column]]] = {"clean": [], "raw": []}
-    distinct: dict[str, list[tuple[str, Column, Column]]] = {"clean": [], "raw": []}
-    parts: list[DataFrame | None] = []
+    simple: dict[str, list[tuple[str, str, str]]] = {"clean": [], "raw": []}
+    distinct: dict[str, list[tuple[str, str, str]]] = {"clean": [], "raw": []}
+    parts: list[DataFrame] = []
     for check in table.checks:
-        rule = check.rule
+        rule, cid = check.rule, check.check_id
         if isinstance(rule, FailWhen):
-            simple[rule.on].append((check.check_id, rows, F.count_if(F.expr(rule.condition))))
+            simple[rule.on].append((cid, "count(1)", f"count_if({rule.condition})"))
         elif isinstance(rule, Repeats):
-            keys = F.count_distinct(F.struct(*rule.columns))
-            distinct[rule.on].append((check.check_id, rows, rows - keys))
+            keys = f"count(DISTINCT struct({_listed(rule.columns)}))"
+            distinct[rule.on].append((cid, "count(1)", f"count(1) - {keys}"))
         elif isinstance(rule, Collapses):
-            entities = F.count_distinct(rule.entity)
-            versions = F.count_distinct(F.struct(rule.entity, *rule.attributes))
-            distinct["clean"].append((check.check_id, entities, versions - entities))
+            entities = f"count(DISTINCT `{rule.entity}`)"
+            versions = f"count(DISTINCT struct({_listed((rule.entity, *rule.attributes))}))"
+            distinct["clean"].append((cid, entities, f"{versions} - {entities}"))
         elif isinstance(rule, Spread):
             per_entity = table.clean.groupBy(rule.entity).agg(
-                rows.alias("n"), F.count_distinct(rule.column).alias("seen")
+                F.count(F.lit(1)).alias("n"), F.count_distinct(rule.column).alias("seen")
             )
-            over = F.sum(F.when(F.col("seen") > rule.limit, F.col("n")).otherwise(0))
-            counts = [(check.check_id, F.coalesce(F.sum("n"), none), F.coalesce(over, none))]
-            parts.append(_parts(per_entity, table.name, counts))
+            over = f"coalesce(sum(CASE WHEN seen > {rule.limit} THEN n END), 0)"
+            parts.append(_parts(per_entity, table.name, [(cid, "coalesce(sum(n), 0)", over)]))
         elif isinstance(rule, Orphans):
             found = orphan_counts(table.clean, table.parents[rule.parent], rule.columns)
-            parts.append(
-                found.select(
-                    F.lit(table.name).alias("table_name"), F.lit(check.check_id).alias("check_id"), "total", "fail"
-                )
-            )
+            parts.append(found.selectExpr(f"'{table.name}' AS table_name", f"'{cid}' AS check_id", "total", "fail"))
         elif isinstance(rule, SameCount):
-            simple["raw"].append((check.check_id, rows, rows))
-            simple["clean"].append((check.check_id, none, -rows))
+            simple["raw"].append((cid, "count(1)", "count(1)"))
+            simple["clean"].append((cid, "0", "-count(1)"))
         elif isinstance(rule, SameSum):
-            simple["raw"].append((check.check_id, rows, F.coalesce(F.sum(F.expr(rule.raw)), none)))
-            simple["clean"].append((check.check_id, none, -F.coalesce(F.sum(F.expr(rule.clean)), none)))
+            simple["raw"].append((cid, "count(1)", f"coalesce(sum({rule.raw}), 0)"))
+            simple["clean"].append((cid, "0", f"-coalesce(sum({rule.clean}), 0)"))
         elif isinstance(rule, CountBetween):
-            outside = F.when(rows.between(rule.low, rule.high), 0).otherwise(1)
-            simple["clean"].append((check.check_id, rows, outside))
+            outside = f"CASE WHEN count(1) BETWEEN {rule.low} AND {rule.high} THEN 0 ELSE 1 END"
+            simple["clean"].append((cid, "count(1)", outside))
     for side, df in (("clean", table.clean), ("raw", table.raw)):
         for counts in (simple[side], distinct[side]):
             if counts and df is None:
                 raise ValueError(f"{table.name}: the checks read the {side} table, which is missing")
-            if df is not None:
+            if counts:
                 parts.append(_parts(df, table.name, counts))
-    return [part for part in parts if part is not None]
+    return parts
+
+
+DESCRIPTION = ("layer", "table_name", "check_id", "check_name", "check_type", "dq_dimension", "column_name",
+               "expectation", "threshold", "severity", "business_question", "owner")
 
 
 def _catalogue(spark: SparkSession, tables: Iterable[CheckedTable]) -> DataFrame:
     """The descriptions of the checks as rows; as many as the code lists, whatever the data."""
     rows = [
-        F.struct(
-            F.lit(table.layer).alias("layer"),
-            F.lit(table.name).alias("table_name"),
-            F.lit(check.check_id).alias("check_id"),
-            F.lit(check.check_name).alias("check_name"),
-            F.lit(check.check_type).alias("check_type"),
-            F.lit(check.dq_dimension).alias("dq_dimension"),
-            F.lit(check.column_name).alias("column_name"),
-            F.lit(check.expectation).alias("expectation"),
-            F.lit(check.threshold).cast("decimal(5,2)").alias("threshold"),
-            F.lit(check.severity).alias("severity"),
-            F.lit(check.business_question).alias("business_question"),
-            F.lit(table.owner).alias("owner"),
-        )
-        for table in tables
-        for check in table.checks
+        {**vars(check), "threshold": Decimal(str(check.threshold)), "layer": t.layer, "table_name": t.name, "owner": t.owner}
+        for t in tables
+        for check in t.checks
     ]
-    return spark.range(1).select(F.inline(F.array(*rows)))
+    fields = [(name, pa.decimal128(5, 2) if name == "threshold" else pa.string()) for name in DESCRIPTION]
+    kept = [{name: row[name] for name in DESCRIPTION} for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(kept, schema=pa.schema(fields)))
 
 
 def status_of(total: Column, fail: Column, threshold: Column, severity: Column) -> Column:
