@@ -18,7 +18,6 @@ def spark(tmp_path_factory):
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
-            "spark.python.sql.dataFrameDebugging.enabled": "false",
             "spark.driver.memory": "4g",
             "spark.checkpoint.dir": str(base / "checkpoints"),
             "spark.sql.warehouse.dir": str(base / "warehouse"),

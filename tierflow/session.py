@@ -15,6 +15,8 @@ SETTINGS = {
     # Split a hot key even when the split costs one more exchange further up the plan.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # Plans of many expressions are built faster without a Python stack per expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Checkpoint files go when nothing refers to them any more.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
