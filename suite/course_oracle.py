@@ -83,7 +83,7 @@ r_student_assessment AS (
   FROM (SELECT l_orderkey, l_linenumber % 6 AS n, max(l_discount) AS d, max(l_suppkey) AS s1, min(l_suppkey) AS s0,
                min(l_partkey) AS part FROM lineitem GROUP BY ALL) t JOIN e ON e.k = t.l_orderkey),
 visits AS (
-  SELECT l.*, e.m, e.p, e.module, e.pres, e.sid, (l_linenumber * 9 + l_orderkey) % 64 AS slot,
+  SELECT l.*, e.m, e.p, e.module, e.pres, e.sid,
          (l_linenumber * 9 + l_orderkey) % 64 * 1000 + e.m * 100 + e.p AS site
   FROM lineitem l JOIN e ON e.k = l.l_orderkey),
 r_student_vle AS (
@@ -95,11 +95,11 @@ r_student_vle AS (
               ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS sum_click
   FROM visits),
 r_vle AS (
-  SELECT DISTINCT CAST(site AS VARCHAR) AS id_site, module AS code_module, pres AS code_presentation,
+  SELECT CAST(slot * 1000 + m * 100 + p AS VARCHAR) AS id_site, module AS code_module, pres AS code_presentation,
          list_extract(['Resource', 'OUcontent', 'forumng', 'URL', 'quiz', ' homepage '], CAST(slot % 6 + 1 AS BIGINT)) AS activity_type,
          CASE WHEN slot % 5 = 0 THEN CAST(slot % 30 AS VARCHAR) ELSE '?' END AS week_from,
          CASE WHEN slot = 25 THEN '24' WHEN slot % 5 = 0 THEN CAST(slot % 30 + 2 AS VARCHAR) ELSE '?' END AS week_to
-  FROM visits WHERE slot <> 63)"""
+  FROM cells, range(0, 63) AS slots(slot))"""
 
 
 def _codes() -> str:

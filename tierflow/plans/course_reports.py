@@ -14,6 +14,7 @@ from tierflow.operators.rank import with_tiles
 from tierflow.operators.scoring import Rule, with_score
 from tierflow.operators.summarise import (
     explode_factors,
+    over_groups,
     share_of_total,
     top_k,
     top_or_other,
@@ -129,10 +130,11 @@ def withdrawal_bins(enrolment: DataFrame, day: str = "date_unregistration", widt
 def activity_trend(interactions: DataFrame, date: DataFrame, enrolment: DataFrame, k: int = 2) -> DataFrame:
     """Active students and clicks per phase, week, outcome and activity, the smaller activities as Other."""
     outcome = enrolment.filter(F.col("final_result").isNotNull()).select(*ENROLMENT, "final_result")
-    grouped = top_or_other(interactions, "activity_type", "sum_click", k, "activity_type_grouped")
-    # Clicks of one student, day and activity are summed before the joins.
-    daily = grouped.groupBy(*ENROLMENT, "date", "activity_type_grouped").agg(F.sum("sum_click").alias("sum_click"))
-    placed = daily.join(date, "date").join(outcome, list(ENROLMENT))
+    # Clicks of one student, day and activity are summed first: the ranking of the activities and the trend then
+    # share one pass over the facts, and the joins see the smaller table.
+    daily = interactions.groupBy(*ENROLMENT, "date", "activity_type").agg(F.sum("sum_click").alias("sum_click"))
+    grouped = top_or_other(daily, "activity_type", "sum_click", k, "activity_type_grouped")
+    placed = grouped.join(date, "date").join(outcome, list(ENROLMENT))
     trend = placed.groupBy("course_phase", "relative_week", "final_result", "activity_type_grouped").agg(
         F.count_distinct("id_student").alias("active_students"),
         F.sum("sum_click").alias("total_clicks"),
@@ -153,6 +155,9 @@ RISK_FACTORS = {
     "Previous Attempts": "num_of_prev_attempts",
 }
 
+# The name under which the whole cohort is counted.
+COHORT = "(cohort)"
+
 
 def risk_category(rate: Column, baseline: Column) -> Column:
     """Percentage points above or below the baseline."""
@@ -183,20 +188,21 @@ def risk_factors(
     known = enrolments.filter(F.col(result).isNotNull()).withColumn(
         "_risk", F.col(result).isin(*at_risk).cast("int")
     )
-    baseline = known.agg(c.percent(F.sum("_risk"), whole, 1).alias("baseline")).scalar()
     named = {
         name: F.coalesce(F.col(column).cast("string"), F.lit("Unknown"))
         for name, column in (factors or RISK_FACTORS).items()
     }
+    # The cohort itself is one more factor, so its rate comes out of the same pass.
     counted = (
-        explode_factors(known, named, [student, "_risk"])
+        explode_factors(known, {**named, COHORT: F.lit("")}, [student, "_risk"])
         .groupBy("risk_factor", "factor_value")
         .agg(whole.alias("total_students"), F.sum("_risk").alias("at_risk_count"))
-        .filter(F.col("total_students") >= minimum)
     )
     rate = F.col("at_risk_count").cast("double") * 100.0 / F.nullif(F.col("total_students"), F.lit(0))
+    cohort_rate = F.max(F.when(F.col("risk_factor") == COHORT, F.round(rate, 1)))
     return (
-        counted.withColumn("baseline_risk_pct", baseline)
+        counted.withColumn("baseline_risk_pct", over_groups(cohort_rate))
+        .filter((F.col("risk_factor") != COHORT) & (F.col("total_students") >= minimum))
         .select(
             "risk_factor",
             "factor_value",

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.functions.cleaning import percent, share_when
-from tierflow.operators.summarise import share_of_total, top_k
+from tierflow.operators.summarise import over_groups, share_of_total, top_k
 from tierflow.sources.tables import constant_rows
 
 
@@ -135,16 +135,23 @@ def row_status(df: DataFrame, entity: str = "id_student") -> DataFrame:
 
 
 def flags_fired(df: DataFrame, entity: str = "id_student", prefix: str = "WARN: ") -> DataFrame:
-    """Rows and entities behind every flag."""
-    rows = df.agg(_rows().alias("n")).scalar()
-    fired = df.select(entity, F.explode("dq_flags").alias("flag"))
+    """Rows and entities behind every flag.
+
+    A row without flags stays as one row, so the rows of the table are counted in the same pass.
+    """
+    fired = df.select(entity, F.posexplode_outer("dq_flags").alias("at", "flag"))
+    counted = fired.groupBy("flag").agg(
+        _rows().alias("rows_flagged"),
+        F.count_distinct(entity).alias("students_affected"),
+        F.count_if(F.coalesce("at", F.lit(0)) == 0).alias("_first"),
+    )
     return (
-        fired.groupBy("flag")
-        .agg(_rows().alias("rows_flagged"), F.count_distinct(entity).alias("students_affected"))
+        counted.withColumn("pct_of_table", percent(F.col("rows_flagged"), over_groups(F.sum("_first")), 2))
+        .filter(F.col("flag").isNotNull())
         .select(
             F.replace("flag", F.lit(prefix), F.lit("")).alias("flag"),
             "rows_flagged",
-            percent(F.col("rows_flagged"), rows, 2).alias("pct_of_table"),
+            "pct_of_table",
             "students_affected",
         )
         .orderBy(F.desc("rows_flagged"), "flag")

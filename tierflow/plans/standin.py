@@ -42,6 +42,12 @@ def _module(number: Column) -> Column:
     return F.repeat(F.substring(F.lit(MODULE_LETTERS), (number + 1).cast("int"), F.lit(1)), 3)
 
 
+def _presentation(number: Column) -> Column:
+    """Two presentations a year, counted from the first half of 1995."""
+    year = (1995 + F.floor(number / 2)).cast("string")
+    return F.concat(year, F.when(number % 2 == 1, "J").otherwise("B"))
+
+
 def _strings(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(name).cast("string").alias(name) for name in RAW_COLUMNS[table]])
 
@@ -49,7 +55,7 @@ def _strings(df: DataFrame, table: str) -> DataFrame:
 def _enrolments(spark: SparkSession, folder: str) -> DataFrame:
     orders = spark.read.parquet(f"{folder}/orders.parquet")
     key, year, month = F.col("o_orderkey"), F.year("o_orderdate"), F.month("o_orderdate")
-    second = (month > 6).cast("int")
+    number = (year - 1995) * 2 + (month > 6).cast("int")
     return orders.select(
         key,
         "o_custkey",
@@ -57,9 +63,9 @@ def _enrolments(spark: SparkSession, folder: str) -> DataFrame:
         "o_orderpriority",
         "o_totalprice",
         (key % 7).alias("module_no"),
-        ((year - 1995) * 2 + second).alias("presentation_no"),
+        number.alias("presentation_no"),
         _module(key % 7).alias("module"),
-        F.concat(year.cast("string"), F.when(second == 1, "J").otherwise("B")).alias("presentation"),
+        _presentation(number).alias("presentation"),
         F.expr("o_orderkey div 3 + 1").alias("student"),
     )
 
@@ -105,7 +111,11 @@ def _student_registration(enrolments: DataFrame) -> DataFrame:
 
 
 def _cells(enrolments: DataFrame) -> DataFrame:
-    return enrolments.select("module_no", "presentation_no", "module", "presentation").distinct()
+    """Modules and presentations that occur; the numbers are made distinct before the texts are formed."""
+    numbers = enrolments.select("module_no", "presentation_no").distinct()
+    return numbers.select(
+        "*", _module(F.col("module_no")).alias("module"), _presentation(F.col("presentation_no")).alias("presentation")
+    )
 
 
 def _courses(enrolments: DataFrame) -> DataFrame:
@@ -178,13 +188,14 @@ def _student_assessment(enrolments: DataFrame, lines: DataFrame) -> DataFrame:
     )
 
 
+def _site(slot: Column) -> Column:
+    return slot * 1000 + F.col("module_no") * 100 + F.col("presentation_no")
+
+
 def _visits(enrolments: DataFrame, lines: DataFrame) -> DataFrame:
     keyed = enrolments.select("o_orderkey", "module_no", "presentation_no", "module", "presentation", "student")
     slot = (F.col("l_linenumber") * 9 + F.col("l_orderkey")) % SITE_SLOTS
-    site = slot * 1000 + F.col("module_no") * 100 + F.col("presentation_no")
-    return lines.join(keyed, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        "*", slot.alias("slot"), site.alias("site")
-    )
+    return lines.join(keyed, F.col("l_orderkey") == F.col("o_orderkey")).select("*", _site(slot).alias("site"))
 
 
 def _student_vle(visits: DataFrame) -> DataFrame:
@@ -206,9 +217,11 @@ def _student_vle(visits: DataFrame) -> DataFrame:
     )
 
 
-def _vle(visits: DataFrame) -> DataFrame:
+def _vle(enrolments: DataFrame) -> DataFrame:
+    """The sites of every presentation but for the last slot, whose visits are orphans."""
     slot = F.col("slot")
-    sites = visits.filter(slot != SITE_SLOTS - 1).select("slot", "site", "module", "presentation").distinct()
+    slots = F.explode(F.sequence(F.lit(0), F.lit(SITE_SLOTS - 2))).alias("slot")
+    sites = _cells(enrolments).select("*", slots).withColumn("site", _site(slot))
     dated = slot % 5 == 0
     return sites.select(
         F.col("site").alias("id_site"),
@@ -234,6 +247,6 @@ def raw_course(spark: SparkSession, folder: str, tables: Iterable[str] | None =
         "student_info": lambda: _student_info(enrolments),
         "student_registration": lambda: _student_registration(enrolments),
         "student_vle": lambda: _student_vle(_visits(enrolments, lines)),
-        "vle": lambda: _vle(_visits(enrolments, lines)),
+        "vle": lambda: _vle(enrolments),
     }
     return {name: _strings(builders[name](), name) for name in (builders if tables is None else tables)}

@@ -7,13 +7,18 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
+# Settings the plans rely on; they can change on a running session.
+RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot key even when the split costs one more exchange further up the plan.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+SETTINGS = {
+    **RUNTIME_SETTINGS,
+    "spark.sql.session.timeZone": "UTC",
     "spark.sql.files.maxPartitionBytes": "256m",
     # Plans of many expressions are built faster without a Python stack per expression.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -22,6 +27,13 @@ SETTINGS = {
 }
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Turn on adaptive execution with the splitting of skewed joins on a session made elsewhere."""
+    for key, value in RUNTIME_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def build_session(app: str = "tierflow", master: str | None = None, **settings) -> SparkSession:
     """A session with adaptive execution on; pass `master` only for local runs."""
     builder = SparkSession.builder.appName(app)
