@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from suite.registry import query, read
 from tierflow.functions import cleaning as c
@@ -47,7 +48,18 @@ from tierflow.plans.course_mart import with_calendar
 from tierflow.plans.course_reports import risk_factors, withdrawal_bins
 from tierflow.session import scratch_path
 from tierflow.sources.files import read_csv_strings, rescued_rows
-from tierflow.sources.tables import day_spine_of, table_columns, write_ordered, write_slice
+from tierflow.sources.tables import (
+    append_rows,
+    create_empty,
+    create_if_absent,
+    create_layers,
+    day_spine_of,
+    read_back,
+    replace_table,
+    table_columns,
+    write_ordered,
+    write_slice,
+)
 
 # --- column cleaners ----------------------------------------------------------------------------------------
 
@@ -955,3 +967,31 @@ def ordered_write(spark, folder):
     return files.withColumn("crosses", F.coalesce((before > F.col("low")).cast("int"), F.lit(0))).agg(
         F.sum("n").alias("rows"), F.sum("crosses").cast("int").alias("overlapping_files")
     )
+
+
+@query(
+    "table_life_cycle",
+    """SELECT o_orderstatus AS part, count(*) AS rows, 'kept' AS second_create FROM orders GROUP BY 1
+       UNION ALL SELECT 'all', count(*), 'kept' FROM orders""",
+)
+def table_life_cycle(spark, folder):
+    """A layer below the shared folder: an empty results table, a replaced table, a second create that keeps it."""
+    path = scratch_path(spark, "layer")
+    layer = path.rsplit("/", 1)[1].replace("-", "_")
+    create_layers(spark, (layer,), path)
+    schema = T.StructType(
+        [
+            T.StructField("part", T.StringType()),
+            T.StructField("rows", T.LongType()),
+            T.StructField("second_create", T.StringType()),
+        ]
+    )
+    create_empty(spark, f"{layer}.log", schema, "row counts by part")
+    orders = read(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    replace_table(orders, f"{layer}.orders")
+    create_if_absent(orders.filter("o_orderkey < 0"), f"{layer}.orders")
+    kept = spark.table(f"{layer}.orders").withColumn("second_create", F.lit("kept"))
+    rows = F.count(F.lit(1)).alias("rows")
+    append_rows(kept.groupBy(F.col("o_orderstatus").alias("part"), "second_create").agg(rows), f"{layer}.log")
+    append_rows(kept.groupBy(F.lit("all").alias("part"), "second_create").agg(rows), f"{layer}.log")
+    return read_back(spark.table(f"{layer}.log"), "part")

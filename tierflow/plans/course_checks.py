@@ -116,6 +116,7 @@ def same_count(cid, question):
 BLANK = ("",)
 UNKNOWN = ("", "?")
 
+# Numbers, names, kinds, limits and severities of the checks.
 CHECKS: dict[str, tuple[Check, ...]] = {
     "assessments": (
         missing("ASM_01", "id_assessment_not_null", ("id_assessment",), Q1),
