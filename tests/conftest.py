@@ -19,6 +19,9 @@ def spark(tmp_path_factory):
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
+            # Hundreds of tiny plans: interpreting them is faster than compiling each. verify.py compiles.
+            "spark.sql.codegen.wholeStage": "false",
+            "spark.sql.codegen.factoryMode": "NO_CODEGEN",
             "spark.checkpoint.dir": str(base / "checkpoints"),
             "spark.sql.warehouse.dir": str(base / "warehouse"),
         },

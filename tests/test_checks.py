@@ -25,18 +25,6 @@ from tierflow.plans.course_tables import CLEANERS, clean_all
 SEEN_ON_CLEAN = {"REG_04": 1, "VLE_09": 1, "INF_25": 1, "SVL_11": 1}
 
 
-@pytest.fixture(autouse=True)
-def interpreted(spark):
-    """Hundreds of tiny plans: interpreting them is faster than compiling each."""
-    settings = {"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"}
-    before = {key: spark.conf.get(key) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    yield
-    for key, value in before.items():
-        spark.conf.set(key, value)
-
-
 def run(spark, tables, name):
     raw = frames(spark, {table: tables[table] for table in tables_read(name)})
     return {r["check_id"]: r for r in run_checks([checked(name, clean_all(raw), raw)]).collect()}

@@ -96,14 +96,17 @@ def test_positions_match_a_sort(spark, pairs):
             assert got[i] == (place, len(members))
 
 
-def test_positions_spread_a_hot_group_over_partitions(spark):
+@pytest.mark.parametrize("broadcast_rows", [100_000, 0])
+def test_positions_spread_a_hot_group_over_partitions(spark, monkeypatch, broadcast_rows):
     """One group with most of the rows still gets exact positions from several partitions."""
+    monkeypatch.setattr(rank, "BROADCAST_OFFSETS", broadcast_rows)
     rng = random.Random(3)
     data = [("hot", rng.random(), i) for i in range(5000)] + [("cold", rng.random(), 5000 + i) for i in range(50)]
     df = spark.createDataFrame(data, "g string, v double, i int")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         placed = rank.with_positions(df, ["g"], ["v", "i"])
+        assert ("BroadcastHashJoin" in plan(placed)) == (broadcast_rows > 0)
         got = {r["i"]: r["position"] for r in placed.collect()}
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
