@@ -29,7 +29,10 @@ def test_latest_and_earliest_row(spark, rows):
     assert "Window" not in plan(grain.latest_row(df, ["id"], ["p", "m"], ["v"]))
 
 
-def test_distinct_per_entity_keeps_rows(spark, rows):
+@pytest.mark.parametrize("hot_rows", [10, 1])
+def test_distinct_per_entity_keeps_rows(spark, rows, monkeypatch, hot_rows):
+    """Entity 1 is joined by broadcast where two rows are many, and by shuffle where they are few."""
+    monkeypatch.setattr(joins, "HOT_ROWS", hot_rows)
     df = spark.createDataFrame([(1, "a"), (1, "b"), (1, None), (2, "a"), (None, "c")], "id int, v string")
     out = grain.with_distinct_per_entity(df, "id", "v", "seen")
     assert rows(out, "id", "v", "seen") == [(1, "a", 2), (1, "b", 2), (1, None, 2), (2, "a", 1), (None, "c", None)]
@@ -54,6 +57,30 @@ def test_gate_cannot_multiply_rows(spark):
     assert [tuple(r) for r in joins.gate(facts, twice, ["id"]).collect()] == [(1, "a")]
 
 
+def test_hot_key_of_a_gate_is_split(spark, tmp_path):
+    """A third of the rows on one key: the join of two tables reads that key in several tasks."""
+    facts = spark.range(30000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.uuid().alias("v"))
+    facts.repartition(8).write.parquet(str(tmp_path / "facts"))
+    spark.range(0, 30000).select(F.col("id").alias("k")).write.parquet(str(tmp_path / "keys"))
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key) for key in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        kept = joins.gate(spark.read.parquet(str(tmp_path / "facts")), spark.read.parquet(str(tmp_path / "keys")), ["k"])
+        assert len(kept.collect()) == 30000
+        assert "skew=true" in plan(kept)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_enrich_keeps_unmatched(spark, rows):
     facts = spark.createDataFrame([(1,), (2,)], "id int")
     lookup = spark.createDataFrame([(1, "a")], "id int, v string")

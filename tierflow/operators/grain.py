@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierflow.operators.joins import join_per_key
+
 
 def collapse_sum(df: DataFrame, keys: Sequence[str], measure: str, count_name: str = "original_record_count") -> DataFrame:
     """One row per key: the measure summed, the number of merged rows kept.
@@ -31,14 +33,11 @@ def earliest_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], colum
     return df.groupBy(*keys).agg(oldest.alias("_row")).select(*keys, "_row.*")
 
 
-def distinct_per_entity(df: DataFrame, entity: str, column: str, name: str) -> DataFrame:
-    """How many different values of `column` each entity shows."""
-    return df.groupBy(entity).agg(F.count_distinct(column).alias(name))
-
-
 def with_distinct_per_entity(df: DataFrame, entity: str, column: str, name: str) -> DataFrame:
-    """The same count joined back to every row; rows without an entity keep a missing count."""
-    return df.join(distinct_per_entity(df, entity, column, name), entity, "left")
+    """Add how many different values of `column` the row's entity shows; without an entity the count is missing."""
+    known = df.filter(F.col(entity).isNotNull())
+    per_entity = known.groupBy(entity).agg(F.count_distinct(column).alias(name), F.count(F.lit(1)).alias("_rows"))
+    return join_per_key(df, per_entity, entity, "_rows")
 
 
 def collapse_proof(source: DataFrame, collapsed: DataFrame, entity: str, changed: Column | str) -> DataFrame:

@@ -8,8 +8,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# A key with more rows than this is joined without a shuffle.
+HOT_ROWS = 10_000_000
+
+
+def join_per_key(df: DataFrame, per_key: DataFrame, key: str, rows: str) -> DataFrame:
+    """Left join of a table with figures aggregated from itself, one row per key with the key's row count in `rows`.
+
+    The figures are already partitioned by the key, so adaptive execution would not split a hot key here. Rows of
+    keys above `HOT_ROWS` meet their figures by broadcast and are never shuffled: there are at most total / HOT_ROWS
+    such keys, which bounds the broadcast. Rows without a key, which would all meet in one task, skip the join too.
+    """
+    hot = F.broadcast(per_key.filter(F.col(rows) > HOT_ROWS).drop(rows).withColumn("_hot", F.lit(True)))
+    cold = per_key.filter(F.col(rows) <= HOT_ROWS).drop(rows)
+    unshuffled = df.join(hot, key, "left").filter(F.col("_hot") | F.col(key).isNull()).drop("_hot")
+    shuffled = df.filter(F.col(key).isNotNull()).join(hot.select(key), key, "left_anti").join(cold, key, "left")
+    return unshuffled.unionByName(shuffled)
+
+
 def gate(df: DataFrame, allowed: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Keep the rows whose key exists in `allowed`; repeats there cannot multiply a row."""
+    """Keep the rows whose key exists in `allowed`; repeats there cannot multiply a row.
+
+    Adaptive execution splits a hot key of `df` when `allowed` is read from a table, as in a build by layers.
+    """
     return df.join(allowed.select(*on), list(on), "left_semi")
 
 
