@@ -27,7 +27,7 @@ def mart_of(spark, tables):
 
 def test_build_from_files(spark, tmp_path, rows):
     source = write_files(tmp_path / "in", clean_course())
-    with pytest.raises(ValidationFailed):
+    with pytest.raises(ValidationFailed, match="failed checks"):
         # Six rows are outside the expected volume, so the mart is not built.
         build(spark, source, str(tmp_path / "gated"))
     layers = build(spark, source, str(tmp_path / "out"), allow_failures=True)
@@ -58,6 +58,9 @@ def test_files_with_faults(spark, tmp_path, rows):
     store = CourseStore(spark, str(tmp_path / "out"))
     raw = store.ingest(source)
     assert rows(raw["vle"].filter("_rescued_data is not null"), "id_site") == [("104",), ("105",)]
+    assert rows(store.misshapen(raw)) == [("vle", 2)]
+    with pytest.raises(ValidationFailed, match="did not fit"):
+        build(spark, source, str(tmp_path / "gated"))
     clean = store.clean(raw)
     assert clean["vle"].count() == raw["vle"].count() == 6
     assert rows(clean["assessments"].filter("id_assessment = 10"), "date", "weight") == [(None, 12.5)]

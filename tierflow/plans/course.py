@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,12 +11,12 @@ from tierflow.operators.checks import MART_RESULT_SCHEMA, RESULT_SCHEMA, run_che
 from tierflow.plans.course_checks import CHECKS, checked, mart_tests
 from tierflow.plans.course_mart import MART_TABLES, Mart
 from tierflow.plans.course_tables import CLEANERS, INTERACTION, RAW_COLUMNS, RAW_FILES
-from tierflow.sources.files import read_csv_strings
+from tierflow.sources.files import read_csv_strings, rescued_rows
 from tierflow.sources.tables import write_ordered, write_slice
 
 
 class ValidationFailed(RuntimeError):
-    """A check with status FAIL; the mart is not built on such data."""
+    """Misshapen lines or a check with status FAIL; the mart is not built on such data."""
 
 
 class CourseStore:
@@ -42,6 +44,14 @@ class CourseStore:
             raw[table] = self.write("raw", table, lines)
         return raw
 
+    def misshapen(self, raw: dict[str, DataFrame]) -> DataFrame:
+        """Tables with lines that did not fit their columns, and how many; the contract is that there are none."""
+        counts = [
+            rescued_rows(df).agg(F.lit(table).alias("table_name"), F.count(F.lit(1)).alias("lines"))
+            for table, df in raw.items()
+        ]
+        return reduce(DataFrame.unionByName, counts).filter(F.col("lines") > 0)
+
     def clean(self, raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
         """Clean tables; the interactions are written in key order, so later scans skip files."""
         clean = {}
@@ -80,6 +90,8 @@ def build(spark: SparkSession, source: str, root: str, allow_failures: bool = Fa
     """Files in `source` to a checked star schema below `root`."""
     store = CourseStore(spark, root)
     raw = store.ingest(source)
+    if not allow_failures and not store.misshapen(raw).isEmpty():
+        raise ValidationFailed("the raw layer holds lines that did not fit their columns; read _rescued_data")
     clean = store.clean(raw)
     results = store.validate(clean, raw)
     failed = results.filter(F.col("status") == "FAIL")
