@@ -14,6 +14,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot key even when the split costs one more exchange further up the plan.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM does not compile longer methods, so stages of many expressions run faster operator by operator.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 SETTINGS = {
