@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierflow.llm import quality, toxicity
+from tierflow.llm import packing, quality, toxicity
 from tierflow.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,8 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op4_quality_cascade")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(documents(spark, folder))
+
+
+@_query("op7_best_two_fit")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed_documents(documents(spark, folder))

@@ -1,4 +1,4 @@
-"""Toxicity by a classifier chain over hashed words.
+"""Toxicity by a classifier chain over words.
 
 The chain predicts categories one after the other. Each link is a logistic model on the words of a text plus the
 probabilities of the links before it. While a link is trained, those probabilities come from models that have not seen
@@ -36,13 +36,18 @@ SAMPLE_ROWS = 12_000
 WORDS = 400
 MIN_TEXTS = 3
 FOLDS = 4
+BEGINNINGS = (5, 7)
 THRESHOLD = 0.5
 
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str) -> set[str]:
-    return set(_WORD.findall(text.lower()))
+    """The words of a text and, marked by a hyphen, their beginnings, which catch inflected and compound forms."""
+    bag = set(_WORD.findall(text.lower()))
+    for size in BEGINNINGS:
+        bag |= {word[:size] + "-" for word in bag if len(word) > size and word[-1] != "-"}
+    return bag
 
 
 @dataclass
@@ -78,7 +83,7 @@ def predict(link: Link, matrix: Matrix, earlier: np.ndarray) -> np.ndarray:
     return sigmoid(matrix.times(link.words) + earlier @ link.earlier + link.intercept)
 
 
-def fit(matrix: Matrix, earlier: np.ndarray, labels: np.ndarray, use: np.ndarray, steps: int = 80, decay: float = 1e-4) -> Link:
+def fit(matrix: Matrix, earlier: np.ndarray, labels: np.ndarray, use: np.ndarray, steps: int = 150, decay: float = 1e-4) -> Link:
     """Logistic regression by Adam on the texts in `use`, with weight decay."""
     share = float(np.clip(labels[use].mean() if use.any() else 0.0, 1e-6, 1 - 1e-6))
     width, links = matrix.width, earlier.shape[1]
