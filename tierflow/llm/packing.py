@@ -36,8 +36,10 @@ CACHED_WORDS = 700_000
 ROWS_A_BUCKET = 1000
 
 # Runs of non-blanks with the blank before them, and runs of blanks: the pre-tokeniser never joins across these.
-_SPACE = "\t-\r \x85\xa0  -     　"
-_CHUNKS = re.compile(rf" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+# The white space of Unicode, by code point.
+_BLANK_POINTS = (*range(9, 14), 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)
+_SPACE = "".join(map(chr, _BLANK_POINTS))
+_CHUNKS = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
 
 class WordIds(dict):

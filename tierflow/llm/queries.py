@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tierflow.llm import packing, quality, toxicity
+from tierflow.llm import packing, quality, secrets, toxicity
 from tierflow.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +24,12 @@ def _query(name: str, sql: str | None = None):
     return register
 
 
+@_query("op2_secret_ownership")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """The source stands for the owner; what it holds in one language for a repository."""
+    return secrets.report(documents(spark, folder), F.concat_ws("/", "source", "lang"), F.col("source"))
+
+
 @_query("op3_toxicity_chain")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     rows = documents(spark, folder)
