@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm import packing, quality, secrets, toxicity
+from tierflow.llm import ngram_join, packing, quality, secrets, toxicity
 from tierflow.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,8 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op7_best_two_fit")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_documents(documents(spark, folder))
+
+
+@_query("op9_ngram_prefix_tree")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.join_documents(documents(spark, folder)).select("doc_id", "n_shingles", "component_id")
