@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tierflow.llm import ngram_join, packing, quality, secrets, toxicity
 from tierflow.llm.common import documents
 
@@ -49,3 +50,8 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op9_ngram_prefix_tree")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.join_documents(documents(spark, folder)).select("doc_id", "n_shingles", "component_id")
+
+
+@_query("pipeline")
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
