@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tierflow.llm import ngram_join, packing, quality, secrets, toxicity
+from tierflow.llm import fingerprints, ngram_join, packing, quality, secrets, toxicity
 from tierflow.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @_query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
+
+
+@_query("op10_weighted_sampling")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprints(documents(spark, folder))
