@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -34,6 +34,11 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once, although `use` may need it in every step of a lambda."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """A column name that `df` does not use yet."""
     taken = {name.lower() for name in df.columns}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tierflow.llm import fingerprints, ngram_join, packing, quality, secrets, toxicity
+from tierflow.llm import fingerprints, licenses, ngram_join, packing, quality, secrets, toxicity
 from tierflow.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,8 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op10_weighted_sampling")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprints(documents(spark, folder))
+
+
+@_query("op6_signature_rules")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(documents(spark, folder))
