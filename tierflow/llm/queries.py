@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tierflow.llm import fingerprints, licenses, ngram_join, packing, quality, secrets, toxicity
+from tierflow.llm import fingerprints, licenses, ngram_join, packing, quality, secrets, toxicity, warc
 from tierflow.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,9 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op6_signature_rules")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(documents(spark, folder))
+
+
+@_query("op5_boundary_chain")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    records = warc.round_trip(documents(spark, folder, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
