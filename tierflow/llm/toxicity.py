@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,7 +31,7 @@ from pyspark.sql import functions as F
 from tierflow.llm.common import slices, texts, whole_text
 
 CATEGORIES = ("low_quality", "toxic")
-SAMPLE_ROWS = 12_000
+SAMPLE_ROWS = 8_000
 WORDS = 400
 MIN_TEXTS = 3
 FOLDS = 4
@@ -126,39 +125,43 @@ class Chain:
         return known
 
 
-def choose_words(bags: list[set[str]], labels: np.ndarray, size: int = WORDS, least: int = MIN_TEXTS) -> dict[str, int]:
-    """The words with the largest chi-square against any category; ties by the word."""
-    present = Counter(word for bag in bags for word in bag)
-    names = sorted(word for word, count in present.items() if count >= least)
-    place = {word: i for i, word in enumerate(names)}
-    total, n = np.array([present[word] for word in names], float), max(len(bags), 1)
+def interned(bags: Iterator[set[str]]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct words, and for all bags in a row the text and the word of each entry."""
+    codes: dict[str, int] = {}
+    arrays = [np.fromiter((codes.setdefault(word, len(codes)) for word in sorted(bag)), np.int32, len(bag)) for bag in bags]
+    rows = np.repeat(np.arange(len(arrays)), [len(a) for a in arrays]) if arrays else np.zeros(0, np.int64)
+    return list(codes), rows, np.concatenate(arrays) if arrays else np.zeros(0, np.int32)
+
+
+def choose_words(names: list[str], rows: np.ndarray, words: np.ndarray, labels: np.ndarray, size: int = WORDS, least: int = MIN_TEXTS) -> list[int]:
+    """The words (places in `names`) with the largest chi-square against any category; ties by the word."""
+    total, n = np.bincount(words, minlength=len(names)).astype(float), max(len(labels), 1)
     best = np.zeros(len(names))
     for labelled in labels.T:
-        positive = np.zeros(len(names))
-        for bag, label in zip(bags, labelled, strict=True):
-            if label:
-                for word in bag:
-                    if word in place:
-                        positive[place[word]] += 1
+        positive = np.bincount(words, labelled[rows], len(names))
         share = labelled.mean() if len(labelled) else 0.0
         expected = total * share
         spread = expected * (1 - share) * (1 - total / n)
         best = np.maximum(best, np.where(spread > 0, (positive - expected) ** 2 / np.maximum(spread, 1e-12), 0))
-    chosen = np.lexsort([np.arange(len(names)), -best])[:size]
-    return {names[i]: k for k, i in enumerate(chosen)}
+    often = np.flatnonzero(total >= least).tolist()
+    return sorted(often, key=lambda k: (-best[k], names[k]))[:size]
 
 
 def train(ids: list[int], documents: list[str], labels: np.ndarray, categories: tuple[str, ...] = CATEGORIES, folds: int = FOLDS) -> Chain:
     """Fit the chain; `labels` has one column of 0 and 1 per category."""
-    bags = [words_of(text) for text in documents]
-    labels = np.asarray(labels, float).reshape(len(bags), len(categories))
-    chain = Chain(choose_words(bags, labels), tuple(categories), [])
-    matrix = chain.matrix(bags)
+    names, rows, words = interned(map(words_of, documents))
+    labels = np.asarray(labels, float).reshape(len(ids), len(categories))
+    chosen = choose_words(names, rows, words, labels)
+    chain = Chain({names[k]: column for column, k in enumerate(chosen)}, tuple(categories), [])
+    column = np.full(len(names), -1)
+    column[chosen] = np.arange(len(chosen))
+    known = column[words] >= 0
+    matrix = Matrix(rows[known], column[words[known]], len(ids), len(chosen))
     fold = np.array([zlib.crc32(str(i).encode()) % folds for i in ids], np.int64)
-    unseen = np.zeros((len(bags), 0))
+    unseen = np.zeros((len(ids), 0))
     for target in labels.T:
-        chain.links.append(fit(matrix, unseen, target, np.ones(len(bags), bool)))
-        out = np.zeros(len(bags))
+        chain.links.append(fit(matrix, unseen, target, np.ones(len(ids), bool)))
+        out = np.zeros(len(ids))
         for k in range(folds):
             held = fold == k
             if held.any():
