@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tierflow.llm import fingerprints, licenses, ngram_join, packing, quality, secrets, toxicity, warc
+from tierflow.llm import fingerprints, licenses, logbilinear, ngram_join, packing, quality, secrets, toxicity, warc
 from tierflow.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,8 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     records = warc.round_trip(documents(spark, folder, "pages"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@_query("op8_log_bilinear")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return logbilinear.score_documents(documents(spark, folder))
