@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tierflow.llm import fingerprints, licenses, logbilinear, ngram_join, packing, quality, secrets, toxicity, warc
+from tierflow.llm import fingerprints, licenses, logbilinear, ngram_join, packing, pieces, quality, secrets, toxicity, warc
 from tierflow.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,8 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op8_log_bilinear")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return logbilinear.score_documents(documents(spark, folder))
+
+
+@_query("op1_piece_lattice")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.segment(documents(spark, folder))
