@@ -26,7 +26,7 @@ from tierflow.llm.license_rules import Rule, rules
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
 # Words are runs of ASCII letters and digits and of everything beyond ASCII.
-_OTHER = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_OTHER = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 

@@ -91,6 +91,7 @@ class Lexicon:
     ends: int
     tokens: int
     distinct: int
+    most: int = CLASSES
 
     def __post_init__(self):
         self.order = np.argsort(self.keys)
@@ -98,7 +99,7 @@ class Lexicon:
 
     @property
     def words(self) -> int:
-        return min(CLASSES, len(self.keys))
+        return min(self.most, len(self.keys))
 
     @property
     def classes(self) -> int:
@@ -122,7 +123,7 @@ class Lexicon:
         return float(np.log10(self.class_counts()[OTHERS] + 0.5 * (distinct + 1)))
 
 
-def lexicon(counts: DataFrame, head: int = HEAD) -> Lexicon:
+def lexicon(counts: DataFrame, head: int = HEAD, classes: int = CLASSES) -> Lexicon:
     """Read the head from the counts: whole steps of frequency, as many as fit into `head` words."""
     step = F.floor(F.log2("n") * 16).cast("int")
     steps = counts.groupBy(step.alias("step")).agg(F.count("*").alias("words"), F.sum("n").alias("tokens")).orderBy(F.desc("step")).collect()
@@ -137,7 +138,7 @@ def lexicon(counts: DataFrame, head: int = HEAD) -> Lexicon:
     ends = int(counts.where(F.col("key") == _END_KEY).agg(F.sum("n")).first()[0] or 0)
     keys, n = keys[keys != _END_KEY], n[keys != _END_KEY]
     order = np.lexsort((keys, -n))
-    return Lexicon(keys[order], n[order], ends, sum(row.tokens for row in steps), sum(row.words for row in steps))
+    return Lexicon(keys[order], n[order], ends, sum(row.tokens for row in steps), sum(row.words for row in steps), classes)
 
 
 class Ranks(dict):
@@ -345,14 +346,14 @@ def _scored(documents: DataFrame, known: Lexicon, model: Model) -> DataFrame:
     return frozen(documents.mapInArrow(score, _SCORED), "scored")
 
 
-def score_documents(documents: DataFrame) -> DataFrame:
+def score_documents(documents: DataFrame, head: int = HEAD, classes: int = CLASSES) -> DataFrame:
     """Per row the fold, tokens, known tokens, training tokens, the unigram score and the model's score (log10)."""
     rows = documents.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"), held_out().alias("held_out")
     )
     training = rows.where(~F.col("held_out"))
     counts = token_counts(training)
-    known = lexicon(counts)
+    known = lexicon(counts, head, classes)
     scored = _scored(rows, known, train(training, known))
     each = scored.select("row", F.explode(F.arrays_zip("keys", "counts")).alias("word")).select("row", F.col("word.keys").alias("key"), F.col("word.counts").alias("times"))
     met = each.join(counts, "key", "left")

@@ -201,8 +201,8 @@ def _tie(pdf: pd.DataFrame) -> pd.DataFrame:
     chunks = nodes[at] >> 16
     metas = {chunk: meta for chunk, meta in zip(pdf.chunk, pdf.meta, strict=True) if meta is not None}
     rows = []
-    cuts = np.flatnonzero(np.diff(chunks, prepend=-1)) if len(chunks) else np.zeros(0, int)
-    for a, b in zip(cuts, np.append(cuts[1:], len(chunks)), strict=True):
+    cuts = [*np.flatnonzero(np.diff(chunks, prepend=-1)).tolist(), len(chunks)]
+    for a, b in zip(cuts, cuts[1:], strict=False):
         rows.append((int(chunks[a]), ties[a:b].tobytes(), metas.pop(int(chunks[a]), None)))
     rows += [(chunk, b"", meta) for chunk, meta in metas.items()]
     return pd.DataFrame(rows, columns=["chunk", "ties", "meta"])
@@ -428,11 +428,12 @@ def join_documents(documents: DataFrame) -> DataFrame:
 
 def keep_one(documents: DataFrame) -> DataFrame:
     """The documents, all columns, with one row of each component left: the first row with the smallest id."""
-    key, spot, wanted = (free_name(documents, name) for name in ("text_key", "spot", "wanted"))
+    own = ("text_key", "spot", "wanted", "wanted_id", "wanted_key")
+    key, spot, wanted, wanted_id, wanted_key = (free_name(documents, name) for name in own)
     decided = join_documents(documents).where("stays").groupBy("doc_id", "text_key").agg(F.count("*").alias(wanted))
-    decided = decided.withColumnRenamed("doc_id", f"{wanted}_id").withColumnRenamed("text_key", f"{wanted}_key")
+    decided = decided.withColumnRenamed("doc_id", wanted_id).withColumnRenamed("text_key", wanted_key)
     keyed = documents.withColumn(key, F.xxhash64(whole_text()))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col(f"{wanted}_id")) & (F.col(key) == F.col(f"{wanted}_key"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(wanted_id)) & (F.col(key) == F.col(wanted_key))
     met = keyed.join(decided, same)
     # Rows with one id and one text differ in no way that the join knows: as many stay as it keeps.
     rank = F.row_number().over(Window.partitionBy("doc_id", key).orderBy(F.lit(0)))
