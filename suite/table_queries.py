@@ -47,7 +47,7 @@ from tierflow.operators.summarise import (
 from tierflow.plans.course_mart import with_calendar
 from tierflow.plans.course_reports import risk_factors, withdrawal_bins
 from tierflow.session import scratch_path
-from tierflow.sources.files import read_csv_strings, rescued_rows
+from tierflow.sources.files import read_csv_strings, read_csv_typed, rescued_rows
 from tierflow.sources.tables import (
     append_rows,
     create_empty,
@@ -858,11 +858,11 @@ def profile_customer(spark, folder):
 
 
 @query("profile_lines", _profile_sql("lineitem", _same({
-    "l_orderkey": "bigint", "l_partkey": "bigint", "l_linenumber": "int", "l_quantity": "double",
-    "l_returnflag": "string", "l_linestatus": "string"})))
+    "l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int", "l_quantity": "double",
+    "l_extendedprice": "double", "l_discount": "double", "l_tax": "double", "l_returnflag": "string",
+    "l_linestatus": "string", "l_shipdate": "timestamp_ntz"})))
 def profile_lines(spark, folder):
-    columns = ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus"]
-    return profile_columns(read(spark, folder, "lineitem"), "lineitem", columns)
+    return profile_columns(read(spark, folder, "lineitem"), "lineitem")
 
 
 @query("profile_text", _profile_sql("conversations", _same(CONVERSATION)))
@@ -908,11 +908,11 @@ def catalog_columns(spark, folder):
 
 @query(
     "ingest_csv_strings",
-    """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment,
-              true AS has_lineage, false AS was_rescued FROM customer""",
+    """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+              CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment, true AS has_lineage, false AS was_rescued FROM customer""",
 )
 def ingest_csv_strings(spark, folder):
-    columns = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
+    columns = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
     path = scratch_path(spark, "csv")
     read(spark, folder, "customer").select(*columns).write.option("header", True).csv(path)
     raw = read_csv_strings(spark, path, columns)
@@ -920,6 +920,17 @@ def ingest_csv_strings(spark, folder):
     return raw.select(*columns, lineage.alias("has_lineage"), F.col("_rescued_data").isNotNull().alias("was_rescued"))
 
 
+@query("typed_csv_scan", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, CAST(NULL AS INTEGER) AS c_name_as_number FROM customer")
+def typed_csv_scan(spark, folder):
+    """Types at the scan: numbers come back as numbers, and a text read as a number is lost as NULL."""
+    path = scratch_path(spark, "typed")
+    columns = ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    read(spark, folder, "customer").select(*columns, F.col("c_name").alias("c_name_as_number")).write.option("header", True).csv(path)
+    return read_csv_typed(
+        spark, path, "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string, c_name_as_number int"
+    )
+
+
 @query(
     "rescued_lines",
     """SELECT p_name, p_name || ',' || CAST(p_partkey AS VARCHAR) || ',extra' AS rescued FROM part WHERE p_size = 1""",

@@ -29,15 +29,63 @@ def test_latest_and_earliest_row(spark, rows):
     assert "Window" not in plan(grain.latest_row(df, ["id"], ["p", "m"], ["v"]))
 
 
-@pytest.mark.parametrize("hot_rows", [10, 1])
-def test_distinct_per_entity_keeps_rows(spark, rows, monkeypatch, hot_rows):
-    """Entity 1 is joined by broadcast where two rows are many, and by shuffle where they are few."""
-    monkeypatch.setattr(joins, "HOT_ROWS", hot_rows)
+def test_distinct_per_entity_keeps_rows(spark, rows):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (1, None), (2, "a"), (None, "c")], "id int, v string")
     out = grain.with_distinct_per_entity(df, "id", "v", "seen")
     assert rows(out, "id", "v", "seen") == [(1, "a", 2), (1, "b", 2), (1, None, 2), (2, "a", 1), (None, "c", None)]
 
 
+def test_figures_of_a_hot_and_a_missing_key_meet_in_several_tasks(spark):
+    """One key and the rows without a key hold a third of all rows each."""
+    data = [(1, i % 5, i) for i in range(1000)] + [(None, 0, i) for i in range(1000)] + [(i, 0, i) for i in range(2, 1000)]
+    df = spark.createDataFrame(data, "id int, v int, i int")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        placed = grain.with_distinct_per_entity(df, "id", "v", "seen").withColumn("task", F.spark_partition_id())
+        spread = {r["id"]: r["tasks"] for r in placed.groupBy("id").agg(F.count_distinct("task").alias("tasks")).collect()}
+        assert spread[1] > 2 and spread[None] > 2
+        assert placed.count() == len(data) and placed.filter("id = 1").select("seen").distinct().collect()[0][0] == 5
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_per_key_join_has_one_plan(spark, tmp_path):
+    """The table is read twice: once for its figures, once for its rows."""
+    spark.range(100).select((F.col("id") % 7).alias("k"), F.col("id").alias("v")).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    assert plan(grain.with_distinct_per_entity(table, "k", "v", "seen")).count("FileScan") == 2
+
+
+def test_lookups_come_to_their_key(spark, rows):
+    lookup = spark.createDataFrame([(1, None, "z"), (1, 5, "a"), (1, 5, "b"), (2, None, None), (None, 3, "c")], "k int, d int, t string")
+    assert rows(joins.one_per_key(lookup, ["k"])) == [(1, 5, "b"), (2, None, None), (None, 3, "c")]
+    facts = spark.createDataFrame([(1,), (2,), (9,)], "k int")
+    assert joins.enrich(facts, joins.one_per_key(lookup, ["k"]), ["k"]).count() == 3
+
+
+def test_keep_keys_matches_missing_values(spark, rows):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (2, "d")], "k int, v string")
+    assert rows(joins.keep_keys(df, spark.createDataFrame([(1,), (None,)], "k int"), ["k"])) == [(1, "a"), (1, "b"), (None, "c")]
+
+
+def test_profile_orders_by_type(spark):
+    df = spark.sql("""SELECT * FROM VALUES
+        (-9007199254740993L, -9007199254740992.13BD, DATE'0999-01-01', true, 9.5D, TIMESTAMP'2020-01-01 00:00:00', '10'),
+        (-9007199254740992L, -9007199254740992.11BD, DATE'2020-01-01', false, 10.5D, TIMESTAMP'2020-01-01 00:00:00.5', '9') AS t(a, b, c, d, e, f, g)""")
+    got = {r.column_name: (r.min_value, r.max_value) for r in profile_columns(df, "t").collect()}
+    assert got == {
+        "a": ("-9007199254740993", "-9007199254740992"),
+        "b": ("-9007199254740992.13", "-9007199254740992.11"),
+        "c": ("0999-01-01", "2020-01-01"),
+        "d": ("false", "true"),
+        "e": ("9.5", "10.5"),
+        "f": ("2020-01-01 00:00:00", "2020-01-01 00:00:00.5"),
+        "g": ("10", "9"),
+    }
+
+
 def test_fanout_and_collapse_proof(spark, rows):
     df = spark.createDataFrame([(1, "M", 2), (1, "F", 2), (2, "M", 1), (2, "M", 1)], "id int, g string, seen int")
     assert rows(grain.fanout_probe(df, "id", ["g"], "seen > 1")) == [(3, 2, 1)]
@@ -123,19 +171,19 @@ def test_positions_match_a_sort(spark, pairs):
             assert got[i] == (place, len(members))
 
 
-@pytest.mark.parametrize("broadcast_rows", [100_000, 0])
-def test_positions_spread_a_hot_group_over_partitions(spark, monkeypatch, broadcast_rows):
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_positions_spread_a_hot_group_over_partitions(spark, threshold):
     """One group with most of the rows still gets exact positions from several partitions."""
-    monkeypatch.setattr(rank, "BROADCAST_OFFSETS", broadcast_rows)
     rng = random.Random(3)
     data = [("hot", rng.random(), i) for i in range(5000)] + [("cold", rng.random(), 5000 + i) for i in range(50)]
     df = spark.createDataFrame(data, "g string, v double, i int")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
         placed = rank.with_positions(df, ["g"], ["v", "i"])
-        assert ("BroadcastHashJoin" in plan(placed)) == (broadcast_rows > 0)
         got = {r["i"]: r["position"] for r in placed.collect()}
     finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     for group in ("hot", "cold"):
         members = sorted((v, i) for g, v, i in data if g == group)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierflow.operators.joins import orphan_counts, orphan_rows
+from tierflow.operators.joins import keep_keys, orphan_counts, orphan_rows
 
 # The shape of the results table.
 RESULT_SCHEMA = T.StructType(
@@ -265,13 +265,11 @@ def failing_rows(table: CheckedTable, check_id: str) -> DataFrame:
     if isinstance(rule, Repeats):
         side = table.clean if rule.on == "clean" else table.raw
         repeated = side.groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
-        same = [F.col(f"l.{name}").eqNullSafe(F.col(f"r.{name}")) for name in rule.columns]
-        return side.alias("l").join(repeated.alias("r"), reduce(Column.__and__, same), "left_semi")
+        return keep_keys(side, repeated, rule.columns)
     if isinstance(rule, Spread):
         seen = table.clean.groupBy(rule.entity).agg(F.count_distinct(rule.column).alias("_seen"))
         wide = seen.filter(F.col("_seen") > rule.limit)
-        same = F.col(f"l.{rule.entity}").eqNullSafe(F.col(f"r.{rule.entity}"))
-        return table.clean.alias("l").join(wide.alias("r"), same, "left_semi")
+        return keep_keys(table.clean, wide, (rule.entity,))
     raise ValueError(f"{check_id} compares whole tables and has no rows of its own")
 
 

@@ -36,8 +36,7 @@ def earliest_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], colum
 def with_distinct_per_entity(df: DataFrame, entity: str, column: str, name: str) -> DataFrame:
     """Add how many different values of `column` the row's entity shows; without an entity the count is missing."""
     known = df.filter(F.col(entity).isNotNull())
-    per_entity = known.groupBy(entity).agg(F.count_distinct(column).alias(name), F.count(F.lit(1)).alias("_rows"))
-    return join_per_key(df, per_entity, entity, "_rows")
+    return join_per_key(df, known.groupBy(entity).agg(F.count_distinct(column).alias(name)), entity)
 
 
 def collapse_proof(source: DataFrame, collapsed: DataFrame, entity: str, changed: Column | str) -> DataFrame:

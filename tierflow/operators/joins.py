@@ -3,27 +3,43 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+# A key's rows are dealt over this many salts before they meet the figures of their key.
+SALTS = 16
 
-# A key with more rows than this is joined without a shuffle.
-HOT_ROWS = 10_000_000
 
+def _salt(df: DataFrame) -> Column:
+    """A number below SALTS from the row's own values, the same in every attempt of a task."""
+    plain = [field.name for field in df.schema if not isinstance(field.dataType, (T.MapType, T.ArrayType, T.StructType))]
+    return F.pmod(F.xxhash64(*plain), F.lit(SALTS)).cast("int")
 
-def join_per_key(df: DataFrame, per_key: DataFrame, key: str, rows: str) -> DataFrame:
-    """Left join of a table with figures aggregated from itself, one row per key with the key's row count in `rows`.
 
-    The figures are already partitioned by the key, so adaptive execution would not split a hot key here. Rows of
-    keys above `HOT_ROWS` meet their figures by broadcast and are never shuffled: there are at most total / HOT_ROWS
-    such keys, which bounds the broadcast. Rows without a key, which would all meet in one task, skip the join too.
+def _for_every_salt(per_key: DataFrame) -> DataFrame:
+    return per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
+def join_per_key(df: DataFrame, per_key: DataFrame, key: str) -> DataFrame:
+    """Left join of a table with figures aggregated from itself, one row per key.
+
+    Rows are dealt by key and salt, and the figures, a narrow row per key, are repeated for every salt. So the rows of a
+    hot key meet in several tasks, whatever its size, rows without a key spread as well, and both sides of the join are
+    exchanges of their own, which adaptive execution may split further.
     """
-    hot = F.broadcast(per_key.filter(F.col(rows) > HOT_ROWS).drop(rows).withColumn("_hot", F.lit(True)))
-    cold = per_key.filter(F.col(rows) <= HOT_ROWS).drop(rows)
-    unshuffled = df.join(hot, key, "left").filter(F.col("_hot") | F.col(key).isNull()).drop("_hot")
-    shuffled = df.filter(F.col(key).isNotNull()).join(hot.select(key), key, "left_anti").join(cold, key, "left")
-    return unshuffled.unionByName(shuffled)
+    figures = _for_every_salt(per_key)
+    added = [name for name in per_key.columns if name != key]
+    return df.withColumn("_salt", _salt(df)).join(figures, [key, "_salt"], "left").select(*df.columns, *added)
+
+
+def keep_keys(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The rows whose key, missing values included, is among `keys`; the rows of a key spread over several tasks."""
+    left, right = df.withColumn("_salt", _salt(df)).alias("l"), _for_every_salt(keys.select(*on)).alias("r")
+    same = [F.col(f"l.{name}").eqNullSafe(F.col(f"r.{name}")) for name in on]
+    return left.join(right, reduce(Column.__and__, same, F.col("l._salt") == F.col("r._salt")), "left_semi").drop("_salt")
 
 
 def gate(df: DataFrame, allowed: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -34,10 +50,23 @@ def gate(df: DataFrame, allowed: DataFrame, on: Sequence[str]) -> DataFrame:
     return df.join(allowed.select(*on), list(on), "left_semi")
 
 
+def one_per_key(lookup: DataFrame, on: Sequence[str]) -> DataFrame:
+    """A lookup brought to its key: of repeated keys the row with the greatest other columns stays.
+
+    The columns are compared in their order, missing values as the smallest. The rule makes the choice repeatable; that
+    keys repeat at all is for the checks to report.
+    """
+    rest = [name for name in lookup.columns if name not in on]
+    if not rest:
+        return lookup.select(*on).distinct()
+    return lookup.groupBy(*on).agg(F.max(F.struct(*rest)).alias("_row")).select(*on, "_row.*")
+
+
 def enrich(df: DataFrame, lookup: DataFrame, on: Sequence[str]) -> DataFrame:
     """Add the lookup's columns; rows without a match keep NULLs.
 
-    No broadcast hint: Spark broadcasts the lookup when its measured size allows it and shuffles otherwise.
+    The lookup has one row per key: an aggregate over the key, or `one_per_key`. No broadcast hint: Spark broadcasts the
+    lookup when its measured size allows it and shuffles otherwise.
     """
     return df.join(lookup, list(on), "left")
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,12 +26,22 @@ PROFILE_COLUMNS = (
 )
 
 
+def _typed_order(types: Iterable[T.DataType]) -> list[Column]:
+    """One sort column per type that does not sort as text: the value read back as that type, exactly."""
+    ordered = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+    named = {kind.simpleString(): kind for kind in types if isinstance(kind, ordered)}
+    return [
+        F.when(F.col("data_type") == name, F.col("value").try_cast(kind)).alias(f"_as_{k}")
+        for k, (name, kind) in enumerate(sorted(named.items(), key=lambda item: item[0]))
+    ]
+
+
 def profile_columns(df: DataFrame, table: str, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per column: nulls, distinct values, smallest, largest and most common value.
 
     Every row is unpivoted to (column, value) and counted per pair; all figures follow from those counts. The
-    count is taken before the shuffle, so a value that fills most of a column costs one row per task. Numbers
-    keep their numeric order for min and max; the most common value is the smallest of those that tie.
+    count is taken before the shuffle, so a value that fills most of a column costs one row per task. Min and max
+    follow the order of the column's own type; the most common value is the smallest of those that tie.
     """
     names = list(columns or df.columns)
     types = {field.name: field.dataType for field in df.schema}
@@ -40,26 +50,23 @@ def profile_columns(df: DataFrame, table: str, columns: Sequence[str] | None = N
             F.lit(name).alias("column_name"),
             F.lit(types[name].simpleString()).alias("data_type"),
             F.col(name).cast("string").alias("value"),
-            (F.col(name).cast("double") if isinstance(types[name], T.NumericType) else F.lit(None).cast("double")).alias(
-                "number"
-            ),
         )
         for name in names
     ]
     counts = (
         df.select(F.inline(F.array(*cells)))
-        .groupBy("column_name", "data_type", "value", "number")
+        .groupBy("column_name", "data_type", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     present = F.col("value").isNotNull()
-    order = F.struct("number", "value")
+    order = F.struct(*_typed_order(types[name] for name in names), "value")
     figures = counts.groupBy("column_name", "data_type").agg(
         F.sum("n").alias("total_rows"),
         F.coalesce(F.sum(F.when(~present, F.col("n"))), F.lit(0)).alias("null_count"),
         F.count_if(present).alias("distinct_count"),
         F.min_by("value", F.when(present, order)).alias("min_value"),
         F.max_by("value", F.when(present, order)).alias("max_value"),
-        F.min_by("value", F.when(present, F.struct(-F.col("n"), "number", "value"))).alias("most_common_value"),
+        F.min_by("value", F.when(present, F.struct(-F.col("n"), order))).alias("most_common_value"),
     )
     total = F.col("total_rows")
     return figures.select(

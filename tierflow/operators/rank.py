@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from tierflow.session import stable
 
-# Up to this many rows the offsets are broadcast; beyond it they are joined with a shuffle.
-BROADCAST_OFFSETS = 100_000
-
 
 def with_positions(
     df: DataFrame,
@@ -25,8 +22,11 @@ def with_positions(
     `order` must end in a unique column. A window would sort a whole group in one task. Here the rows are
     range-partitioned over (groups, order), so a large group spreads over many tasks; each row takes its slot
     within its partition, and the partitions in front of it add an offset. Only the per-partition counts
-    pass through a window: one row per partition and group. They are counted before they are broadcast, which
-    spares the numbered rows a second shuffle.
+    pass through a window: one row per partition and group. Adaptive execution joins them by broadcast when their
+    measured size allows it.
+
+    One job runs at once: the numbered rows are written to the shared folder, all columns of `df` with them. Pass the
+    keys and the order only, and join wider rows to the result.
     """
     keys = [*groups, *order]
     slotted = (
@@ -39,17 +39,13 @@ def with_positions(
         F.count(F.lit(1)).alias("_rows"), F.min("_slot").alias("_first")
     )
     ahead = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stable(
-        parts.select(
-            *[F.col(name).alias(f"_at_{name}") for name in groups],
-            F.col("_part").alias("_at_part"),
-            "_first",
-            F.coalesce(F.sum("_rows").over(ahead), F.lit(0)).alias("_ahead"),
-            F.sum("_rows").over(Window.partitionBy(*groups)).alias(size),
-        )
+    offsets = parts.select(
+        *[F.col(name).alias(f"_at_{name}") for name in groups],
+        F.col("_part").alias("_at_part"),
+        "_first",
+        F.coalesce(F.sum("_rows").over(ahead), F.lit(0)).alias("_ahead"),
+        F.sum("_rows").over(Window.partitionBy(*groups)).alias(size),
     )
-    if offsets.count() <= BROADCAST_OFFSETS:
-        offsets = F.broadcast(offsets)
     same = F.col("_part") == F.col("_at_part")
     for name in groups:
         same = same & F.col(name).eqNullSafe(F.col(f"_at_{name}"))

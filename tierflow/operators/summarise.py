@@ -4,24 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.functions.cleaning import percent
 
 
-def over_groups(aggregate: Column) -> Column:
-    """A figure over all rows of an already grouped report: a handful of rows, one per group."""
-    return aggregate.over(Window.partitionBy())
+def over_groups(grouped: DataFrame, aggregate: Column) -> Column:
+    """A figure over all rows of an already grouped report, as a one-row subquery: the groups stay where they are."""
+    return grouped.agg(aggregate.alias("_figure")).scalar()
 
 
 def share_of_total(grouped: DataFrame, count: str, name: str, digits: int) -> DataFrame:
     """Add each group's percentage of all counted rows.
 
-    The total is taken over the grouped rows, which saves a second scan of the table. Meant for categories: the
-    groups pass through one task.
+    The total is taken over the grouped rows; the subquery reuses their exchange.
     """
-    return grouped.withColumn(name, percent(F.col(count), over_groups(F.sum(count)), digits))
+    return grouped.withColumn(name, percent(F.col(count), over_groups(grouped, F.sum(count)), digits))
 
 
 def explode_factors(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tierflow.functions import cleaning as c
 from tierflow.functions.flags import is_true
 from tierflow.operators.grain import latest_row
-from tierflow.operators.joins import enrich, gate
+from tierflow.operators.joins import enrich, gate, one_per_key
 from tierflow.plans.course_tables import ENROLMENT, PRESENTATION, usable
 from tierflow.sources.tables import day_spine
 
@@ -55,7 +55,7 @@ def dim_date(spark: SparkSession, first: int = -30, last: int = 300) -> DataFram
 def dim_enrolment(student_info: DataFrame, registration: DataFrame) -> DataFrame:
     """One row per enrolment with its outcome and registration days, keyed by all three key columns."""
     dates = registration.select(*ENROLMENT, "date_registration", "date_unregistration")
-    return enrich(student_info.select(*ENROLMENT, "final_result"), dates, ENROLMENT).withColumn(
+    return enrich(student_info.select(*ENROLMENT, "final_result"), one_per_key(dates, ENROLMENT), ENROLMENT).withColumn(
         "is_withdrawn", is_true(F.lower(F.trim("final_result")) == "withdrawn")
     )
 
@@ -89,7 +89,7 @@ def fact_vle_interactions(
     known = gate(student_vle, date, ["date"])
     known = gate(known, presentation, PRESENTATION)
     known = gate(known, student, ["id_student"])
-    typed = enrich(known, vle.select(*site, "activity_type"), site)
+    typed = enrich(known, one_per_key(vle.select(*site, "activity_type"), site), site)
     return typed.select(
         "id_student", "code_module", "code_presentation", "date", "id_site", "activity_type", "sum_click"
     )
@@ -98,8 +98,12 @@ def fact_vle_interactions(
 def fact_assessments(
     student_assessment: DataFrame, assessments: DataFrame, student: DataFrame, presentation: DataFrame, date: DataFrame
 ) -> DataFrame:
-    """Submissions with their assessment, gated like the interactions; undated assessments fall out at the day gate."""
-    dated = gate(assessments.drop("_cleaned_at"), date, ["date"])
+    """Submissions with their assessment, gated like the interactions; undated assessments fall out at the day gate.
+
+    A repeated assessment is brought to one row before the gates, so a submission can meet one row at most.
+    """
+    details = assessments.select("id_assessment", *PRESENTATION, "assessment_type", "date", "weight")
+    dated = gate(one_per_key(details, ["id_assessment"]), date, ["date"])
     dated = gate(dated, presentation, PRESENTATION)
     known = gate(student_assessment.drop("_cleaned_at"), student, ["id_student"])
     return known.join(dated, "id_assessment").select(

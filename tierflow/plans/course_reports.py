@@ -38,11 +38,16 @@ def _withdrawn() -> Column:
 
 
 def engagement_per_enrolment(interactions: DataFrame) -> DataFrame:
+    """Clicks, days, activities and sites of each enrolment.
+
+    Sets per enrolment, merged before the shuffle, are small: a course has some hundred days and sites. Distinct counts
+    side by side would repeat every row of the fact once per count.
+    """
     return interactions.groupBy(*ENROLMENT).agg(
         F.sum("sum_click").alias("total_clicks"),
-        F.count_distinct("date").alias("active_days"),
-        F.count_distinct("activity_type").alias("distinct_activity_types"),
-        F.count_distinct("id_site").alias("unique_resources_accessed"),
+        F.size(F.collect_set("date")).cast("long").alias("active_days"),
+        F.size(F.collect_set("activity_type")).cast("long").alias("distinct_activity_types"),
+        F.size(F.collect_set("id_site")).cast("long").alias("unique_resources_accessed"),
     )
 
 
@@ -201,7 +206,7 @@ def risk_factors(
     rate = F.col("at_risk_count").cast("double") * 100.0 / F.nullif(F.col("total_students"), F.lit(0))
     cohort_rate = F.max(F.when(F.col("risk_factor") == COHORT, F.round(rate, 1)))
     return (
-        counted.withColumn("baseline_risk_pct", over_groups(cohort_rate))
+        counted.withColumn("baseline_risk_pct", over_groups(counted, cohort_rate))
         .filter((F.col("risk_factor") != COHORT) & (F.col("total_students") >= minimum))
         .select(
             "risk_factor",

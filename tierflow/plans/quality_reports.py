@@ -146,7 +146,7 @@ def flags_fired(df: DataFrame, entity: str = "id_student", prefix: str = "WARN:
         F.count_if(F.coalesce("at", F.lit(0)) == 0).alias("_first"),
     )
     return (
-        counted.withColumn("pct_of_table", percent(F.col("rows_flagged"), over_groups(F.sum("_first")), 2))
+        counted.withColumn("pct_of_table", percent(F.col("rows_flagged"), over_groups(counted, F.sum("_first")), 2))
         .filter(F.col("flag").isNotNull())
         .select(
             F.replace("flag", F.lit(prefix), F.lit("")).alias("flag"),

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,19 +31,33 @@ SETTINGS = {
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Turn on adaptive execution with the splitting of skewed joins on a session made elsewhere."""
+# Many small partitions to start from; adaptive execution joins them to its target size. Spark's own default of 200 would
+# give partitions of hundreds of GB on large tables.
+CLUSTER_SETTINGS = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000"}
+
+
+@contextmanager
+def tuned(spark: SparkSession) -> Iterator[SparkSession]:
+    """The runtime settings on a session made elsewhere, put back at the end."""
+    before = {key: spark.conf.get(key, None) for key in RUNTIME_SETTINGS}
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
-    return spark
+    try:
+        yield spark
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def build_session(app: str = "tierflow", master: str | None = None, **settings) -> SparkSession:
-    """A session with adaptive execution on; pass `master` only for local runs."""
+    """A session with adaptive execution on; pass `master` only for local runs, the cluster's own is for large tables."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **settings}.items():
+    for key, value in {**SETTINGS, **({} if master else CLUSTER_SETTINGS), **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -64,9 +80,20 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def _scratch_folder(spark: SparkSession) -> str:
+    """This application's folder below the shared one; it goes when the application ends."""
+    context = spark.sparkContext
+    folder = f"{shared_dir(spark).rstrip('/')}/scratch-{context.applicationId}"
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(context._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path of its own for one run below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stable(df: DataFrame) -> DataFrame:
