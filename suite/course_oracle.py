@@ -38,7 +38,7 @@ e AS (
 cells AS (SELECT DISTINCT m, p, module, pres FROM e),
 r_student_info AS (
   SELECT CASE WHEN k % 11 = 0 THEN ' ' || lower(module) || ' ' ELSE module END AS code_module,
-         pres AS code_presentation, CAST(sid AS VARCHAR) AS id_student,
+         pres AS code_presentation, CASE WHEN k % 503 = 0 THEN '?' ELSE CAST(sid AS VARCHAR) END AS id_student,
          CASE WHEN k % 13 = 0 THEN 'f' WHEN sid % 2 = 0 THEN 'M' ELSE 'F' END AS gender,
          CASE WHEN sid % 97 = 0 THEN '' ELSE 'Region ' || CAST(sid % 13 AS VARCHAR) END AS region,
          list_extract(['No Formal quals', 'Lower Than A Level', 'A Level or Equivalent', 'HE Qualification',
@@ -58,9 +58,9 @@ r_student_registration AS (
   SELECT CASE WHEN k % 1009 = 0 THEN 'HHH' ELSE module END AS code_module,
          CASE WHEN k % 997 = 0 THEN pres || 'X' ELSE pres END AS code_presentation,
          CAST(sid AS VARCHAR) AS id_student,
-         CASE WHEN k % 499 = 0 THEN '?' ELSE CAST(-(c % 370) AS VARCHAR) END AS date_registration,
+         CASE WHEN again = 1 THEN '-1' WHEN k % 499 = 0 THEN '?' ELSE CAST(-(c % 370) AS VARCHAR) END AS date_registration,
          CASE WHEN st = 'F' AND k % 2 = 0 THEN CAST(c % 300 - 40 AS VARCHAR) ELSE '?' END AS date_unregistration
-  FROM e),
+  FROM (SELECT *, 0 AS again FROM e UNION ALL SELECT *, 1 FROM e WHERE k % 251 = 0)),
 r_courses AS (
   SELECT module AS code_module, pres AS code_presentation,
          CAST(230 + (p * 3 + m * 7) % 45 AS VARCHAR) AS module_presentation_length
@@ -175,7 +175,10 @@ dim_date AS (
 dim_enrolment AS (
   SELECT i.code_module, i.code_presentation, i.id_student, i.final_result, r.date_registration, r.date_unregistration,
          coalesce(lower(i.final_result) = 'withdrawn', false) AS is_withdrawn
-  FROM s_student_info i LEFT JOIN s_student_registration r USING (code_module, code_presentation, id_student)),
+  FROM s_student_info i LEFT JOIN (SELECT * FROM s_student_registration
+    QUALIFY row_number() OVER (PARTITION BY code_module, code_presentation, id_student
+      ORDER BY date_registration DESC NULLS LAST, date_unregistration DESC NULLS LAST) = 1) r
+    USING (code_module, code_presentation, id_student)),
 dim_student AS (
   SELECT md5(CAST(id_student AS VARCHAR)) AS student_key, id_student, gender, region, highest_education, imd_band,
          imd_decile_low, age_band, disability, code_module AS demographics_from_module,

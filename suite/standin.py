@@ -77,7 +77,7 @@ def _student_info(enrolments: DataFrame) -> DataFrame:
     return enrolments.select(
         F.when(key % 11 == 0, F.concat(F.lit(" "), F.lower(module), F.lit(" "))).otherwise(module).alias("code_module"),
         F.col("presentation").alias("code_presentation"),
-        student.alias("id_student"),
+        F.when(key % 503 == 0, "?").otherwise(student.cast("string")).alias("id_student"),
         F.when(key % 13 == 0, "f").when(student % 2 == 0, "M").otherwise("F").alias("gender"),
         F.when(student % 97 == 0, "").otherwise(F.concat(F.lit("Region "), (student % 13).cast("string"))).alias("region"),
         _pick(EDUCATION, student % 5).alias("highest_education"),
@@ -99,13 +99,15 @@ def _student_info(enrolments: DataFrame) -> DataFrame:
 def _student_registration(enrolments: DataFrame) -> DataFrame:
     key, customer = F.col("o_orderkey"), F.col("o_custkey")
     withdrawn = (F.col("o_orderstatus") == "F") & (key % 2 == 0)
-    return enrolments.select(
+    # Every 251st enrolment is registered twice, the second time on the day before the course.
+    twice = enrolments.withColumn("again", F.explode(F.when(key % 251 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    return twice.select(
         F.when(key % 1009 == 0, "HHH").otherwise(F.col("module")).alias("code_module"),
         F.when(key % 997 == 0, F.concat("presentation", F.lit("X")))
         .otherwise(F.col("presentation"))
         .alias("code_presentation"),
         F.col("student").alias("id_student"),
-        F.when(key % 499 == 0, "?").otherwise((-(customer % 370)).cast("string")).alias("date_registration"),
+        F.when(F.col("again") == 1, "-1").when(key % 499 == 0, "?").otherwise((-(customer % 370)).cast("string")).alias("date_registration"),
         F.when(withdrawn, (customer % 300 - 40).cast("string")).otherwise("?").alias("date_unregistration"),
     )
 

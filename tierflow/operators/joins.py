@@ -87,5 +87,7 @@ def orphan_counts(child: DataFrame, parent: DataFrame, on: Sequence[str]) -> Dat
 
 
 def orphan_rows(child: DataFrame, parent: DataFrame, on: Sequence[str]) -> DataFrame:
-    """The child rows whose key the parent lacks."""
-    return child.join(parent.select(*on), list(on), "left_anti")
+    """The child rows whose key the parent lacks. Rows without a key are among them and skip the join."""
+    keyless = reduce(Column.__or__, [F.col(name).isNull() for name in on])
+    lost = child.filter(~keyless).join(parent.select(*on), list(on), "left_anti")
+    return child.filter(keyless).unionByName(lost)
