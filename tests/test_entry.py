@@ -30,3 +30,21 @@ def test_query(spark, duck, name):
     rows, notes = differences(queries()[name](spark, ENTRY_FOLDER), duck, oracle_sql()[name])
     assert not notes
     assert rows > 0
+
+
+@pytest.fixture
+def compiled(spark):
+    """Code generation as users have it; the other tests interpret their many tiny plans, which is faster."""
+    names = ("spark.sql.codegen.wholeStage", "spark.sql.codegen.factoryMode")
+    before = {name: spark.conf.get(name) for name in names}
+    spark.conf.set(names[0], "true")
+    spark.conf.set(names[1], "FALLBACK")
+    yield spark
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("name", [*sorted(QUERIES)[::8], "activity_trend", "engagement_vs_performance", "profile_lines"])
+def test_query_compiled(compiled, duck, name):
+    _, notes = differences(queries()[name](compiled, ENTRY_FOLDER), duck, oracle_sql()[name])
+    assert not notes
