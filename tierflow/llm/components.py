@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.llm.common import frozen
+from tierflow.operators.joins import join_per_key
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -15,7 +16,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     else:
         around = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = around.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("low"))
-    met = around.join(least, "a")
+    met = join_per_key(around, least, "a")  # a node with very many neighbours is dealt over several tasks
     if large:
         tied = met.where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
     else:

@@ -23,6 +23,7 @@ has its own id, null included. An empty table gives an empty result. Other colum
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +44,9 @@ CELL_SETS = 1000
 # Text bytes whose shingles go to one bucket; a bucket is held by one task.
 BUCKET_BYTES = 9_000_000
 CACHED_WORDS = 400_000
+# Documents of a slice, and from how many of them a shingle is sent by stand-ins.
+SLICE_ROWS = 1 << 15
+STOOD_FOR = 24
 # Bits of the map that tells which documents the cells need: 4 MB whatever the number of documents.
 MAP_BITS = 1 << 25
 
@@ -103,20 +107,28 @@ def prefix_length(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 # ---- 1. shingles to buckets -------------------------------------------------------------------------------------------
 
-_PACKED = "bucket long, chunk long, tokens binary, places binary, sizes binary, meta binary"
+_PACKED = "bucket long, chunk long, tokens binary, places binary, sizes binary, stood binary, meta binary"
+_BLOBS = ("tokens", "places", "sizes", "stood", "meta")
+# A stand-in: its place beyond the slice's documents, the first document it stands for, that one's size, and how many.
+_STOOD = np.dtype([("token", "<u8"), ("place", "<u4"), ("first", "<u4"), ("size", "<u4"), ("weight", "<u4")])
 _NODE = np.dtype([("doc_id", "<i8"), ("known", "?"), ("text_key", "<i8"), ("n", "<i8"), ("digest", "V16")])
 
 
 def _packed(buckets: int):
-    """Per slice of documents and bucket one row: shingles (differences, byte by byte), places in the slice, set sizes."""
-    schema = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), *((x, pa.binary()) for x in ("tokens", "places", "sizes", "meta"))])
+    """Per slice of documents and bucket one row: shingles (differences, byte by byte), places in the slice, set sizes, stand-ins.
+
+    A shingle that many documents of a slice hold is summed up before it leaves: a few stand-ins of fitting sizes go to
+    the bucket with the number of documents they stand for, so what a bucket gets of a very frequent shingle grows with
+    the slices, not with the documents.
+    """
+    schema = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), *((x, pa.binary()) for x in _BLOBS)])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 24
         for batch in batches:
             for part in slices(batch, "text"):
-                for at in range(0, part.num_rows, 1 << 16):
-                    piece = part.slice(at, 1 << 16)
+                for at in range(0, part.num_rows, SLICE_ROWS):
+                    piece = part.slice(at, SLICE_ROWS)
                     yield _packed_slice(piece, chunk, buckets, schema)
                     chunk += 1
 
@@ -132,23 +144,63 @@ def _packed_slice(part: pa.RecordBatch, chunk: int, buckets: int, schema: pa.Sch
     nodes["text_key"], nodes["n"] = part.column("text_key").to_numpy(zero_copy_only=False), sizes
     nodes["digest"] = np.frombuffer(b"".join(map(_digest, sets)), "V16")
     tokens = np.concatenate(sets) >> np.uint64(16)  # 48 bits: an equal pair can only add a candidate
-    places = np.repeat(np.arange(len(sets), dtype="<u2"), sizes)
+    places = np.repeat(np.arange(len(sets), dtype="<u4"), sizes)
     order = np.argsort(tokens, kind="stable")
-    tokens, places = tokens[order], places[order]
+    tokens, places, stood, members = _stand_ins(tokens[order], places[order], sizes)
     edges = (np.arange(1, buckets, dtype=np.float64) * (2.0**48 / buckets)).astype(np.uint64)
     bounds = [0, *np.searchsorted(tokens, edges).tolist(), len(tokens)]
+    stood_bounds = [0, *np.searchsorted(stood["token"], edges).tolist(), len(stood)]
     home = chunk % buckets
     rows = []
     for bucket in range(buckets):
         first, last = bounds[bucket], bounds[bucket + 1]
-        if last > first or bucket == home:
+        own_stood = stood[stood_bounds[bucket] : stood_bounds[bucket + 1]]
+        if last > first or len(own_stood) or bucket == home:
             steps = np.diff(tokens[first:last], prepend=np.uint64(0)).astype("<u8")
             planes = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :6].T).tobytes()
-            meta = nodes.tobytes() if bucket == home else None
-            rows.append((bucket, chunk, planes, places[first:last].tobytes(), sizes.astype("<u4").tobytes(), meta))
+            held = (places[first:last].astype("<u4"), sizes[places[first:last]].astype("<u4"))
+            by_byte = [np.ascontiguousarray(x.view(np.uint8).reshape(-1, 4).T).tobytes() for x in held]
+            meta = pickle.dumps((nodes, stood["weight"][np.argsort(stood["place"])], members)) if bucket == home else None
+            rows.append((bucket, chunk, planes, *by_byte, own_stood.tobytes(), meta))
     return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
+def _stand_ins(tokens: np.ndarray, places: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs without those of frequent shingles, the stand-ins for these by shingle, and whom they stand for by place.
+
+    The documents of a shingle are put in order of size. Those chosen are the smallest and the largest one, and between
+    them as few as keep neighbours within the factor of sizes wherever the documents themselves are. A stand-in stands
+    for itself and for the documents up to the next one; its place is a number beyond the documents of the slice.
+    """
+    new = np.ones(len(tokens), bool)
+    new[1:] = tokens[1:] != tokens[:-1]
+    at = np.append(np.flatnonzero(new), len(tokens))
+    often = np.flatnonzero(np.diff(at) >= STOOD_FOR)
+    keep = np.ones(len(tokens), bool)
+    added: list[tuple[int, int, int, int, int]] = []
+    members: list[np.ndarray] = []
+    for group in often.tolist():
+        low, high = int(at[group]), int(at[group + 1])
+        keep[low:high] = False
+        own = places[low:high].astype(np.int64)
+        own = own[np.argsort(sizes[own], kind="stable")]
+        size = sizes[own]
+        chosen = [0]
+        while chosen[-1] < len(own) - 1:
+            # The last one still within the factor of the one chosen before, or the next one where the factor breaks.
+            reach = int(np.searchsorted(size, size[chosen[-1]] * 100 // PERCENT, side="right")) - 1
+            chosen.append(max(reach, chosen[-1] + 1))
+        for a, b in zip(chosen, [*chosen[1:], len(own)], strict=True):
+            added.append((int(tokens[low]), len(sizes) + len(added), int(own[a]), int(size[a]), b - a))
+            members.append(own[a:b].astype("<u4"))
+    together = np.concatenate(members) if members else np.zeros(0, "<u4")
+    return tokens[keep], places[keep], np.array(added, _STOOD), together
+
+
+def _by_byte(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def _unpacked(planes: bytes) -> np.ndarray:
     raw = np.frombuffer(planes, np.uint8).reshape(6, -1)
     steps = np.zeros((raw.shape[1], 8), np.uint8)
@@ -158,7 +210,9 @@ def _unpacked(planes: bytes) -> np.ndarray:
 
 # ---- 2. ties inside a bucket ------------------------------------------------------------------------------------------
 
-_TIE = np.dtype([("place", "<u2"), ("rarity", "u1"), ("hub", "<i8"), ("count", "<u4")])
+_TIE = np.dtype([("place", "<u4"), ("rarity", "u1"), ("hub", "<i8"), ("count", "<u4")])
+# A document's number: its slice, then its place there.
+_PLACE_BITS = 15
 _TIED = "chunk long, ties binary, meta binary"
 
 
@@ -168,54 +222,78 @@ def _rarity(frequency: np.ndarray) -> np.ndarray:
 
 
 def _tie(pdf: pd.DataFrame) -> pd.DataFrame:
-    tokens = np.concatenate([_unpacked(planes) for planes in pdf.tokens])
-    places = [np.frombuffer(p, "<u2") for p in pdf.places]
-    nodes = np.concatenate([(chunk << 16) + p.astype(np.int64) for chunk, p in zip(pdf.chunk, places, strict=True)])
-    sizes = np.concatenate([np.frombuffer(s, "<u4")[p] for s, p in zip(pdf.sizes, places, strict=True)])
+    stood = [np.frombuffer(s, _STOOD) for s in pdf.stood]
+    held = [_by_byte(p) for p in pdf.places]
+    rows = np.repeat(np.arange(len(held)), [len(p) for p in held])
+    stood_rows = np.repeat(np.arange(len(stood)), [len(s) for s in stood])
+    stood = np.concatenate(stood)
+    # Documents first, then stand-ins, which are tied as the first document they stand for.
+    tokens = np.concatenate([*(_unpacked(planes) for planes in pdf.tokens), stood["token"]])
+    sizes = np.concatenate([*(_by_byte(s) for s in pdf.sizes), stood["size"]])
+    places = np.concatenate([*held, stood["place"]]).astype(np.int64)
+    names = np.concatenate([*held, stood["first"]]).astype(np.int64)
+    weights = np.ones(len(tokens), np.int64)
+    weights[len(rows) :] = stood["weight"]
+    rows = np.concatenate([rows, stood_rows])
+    owners = (pdf.chunk.to_numpy(np.int64)[rows] << _PLACE_BITS) + names
     order = np.argsort(tokens, kind="stable")
     tokens = tokens[order]
     new = np.ones(len(tokens), bool)
     new[1:] = tokens[1:] != tokens[:-1]
-    frequency = np.diff(np.append(np.flatnonzero(new), len(tokens)))
-    shared = np.repeat(frequency > 1, frequency)
-    rarity = np.repeat(_rarity(frequency), frequency)[shared]
-    group = np.repeat(np.arange(len(frequency)), frequency)[shared]
-    nodes, sizes = nodes[order][shared], sizes[order][shared].astype(np.int64)
-    order = np.lexsort((nodes, sizes, group))
-    rarity, group, nodes, sizes = rarity[order], group[order], nodes[order], sizes[order]
+    entries = np.diff(np.append(np.flatnonzero(new), len(tokens)))
+    frequency = np.add.reduceat(weights[order], np.flatnonzero(new)) if len(tokens) else entries
+    shared = np.repeat(frequency > 1, entries)
+    rarity = np.repeat(_rarity(frequency), entries)[shared]
+    group = np.repeat(np.arange(len(entries)), entries)[shared]
+    places, rows, owners, weights = places[order][shared], rows[order][shared], owners[order][shared], weights[order][shared]
+    sizes = sizes[order][shared].astype(np.int64)
+    order = np.lexsort((owners, sizes, group))
+    rarity, group, sizes = rarity[order], group[order], sizes[order]
+    places, rows, owners, weights = places[order], rows[order], owners[order], weights[order]
     # Within a shingle, sizes that lie too far apart cannot be linked: a run ends there.
-    starts = np.ones(len(nodes), bool)
+    starts = np.ones(len(rows), bool)
     starts[1:] = (group[1:] != group[:-1]) | (100 * sizes[:-1] < PERCENT * sizes[1:])
     at = np.flatnonzero(starts)
-    length = np.diff(np.append(at, len(nodes)))
-    hub = np.where(np.repeat(length, length) > 1, np.repeat(nodes[at], length) if len(at) else nodes, -1)
-    # Equal (node, rarity, hub) become one row with a count.
-    order = np.lexsort((hub, rarity, nodes))
-    nodes, rarity, hub = nodes[order], rarity[order], hub[order]
-    first = np.ones(len(nodes), bool)
-    first[1:] = (nodes[1:] != nodes[:-1]) | (rarity[1:] != rarity[:-1]) | (hub[1:] != hub[:-1])
+    length = np.diff(np.append(at, len(rows)))
+    held = np.add.reduceat(weights, at) if len(at) else length
+    hub = np.where(np.repeat(held, length) > 1, np.repeat(owners[at], length) if len(at) else owners, -1)
+    # Equal (document, rarity, hub) become one row with a count.
+    order = np.lexsort((hub, rarity, places, rows))
+    places, rows, rarity, hub = places[order], rows[order], rarity[order], hub[order]
+    first = np.ones(len(rows), bool)
+    first[1:] = (rows[1:] != rows[:-1]) | (places[1:] != places[:-1]) | (rarity[1:] != rarity[:-1]) | (hub[1:] != hub[:-1])
     at = np.flatnonzero(first)
     ties = np.zeros(len(at), _TIE)
-    ties["place"], ties["rarity"], ties["hub"] = nodes[at] & 0xFFFF, rarity[at], hub[at]
-    ties["count"] = np.diff(np.append(at, len(nodes)))
-    chunks = nodes[at] >> 16
-    metas = {chunk: meta for chunk, meta in zip(pdf.chunk, pdf.meta, strict=True) if meta is not None}
-    rows = []
-    cuts = [*np.flatnonzero(np.diff(chunks, prepend=-1)).tolist(), len(chunks)]
-    for a, b in zip(cuts, cuts[1:], strict=False):
-        rows.append((int(chunks[a]), ties[a:b].tobytes(), metas.pop(int(chunks[a]), None)))
-    rows += [(chunk, b"", meta) for chunk, meta in metas.items()]
-    return pd.DataFrame(rows, columns=["chunk", "ties", "meta"])
+    ties["place"], ties["rarity"], ties["hub"] = places[at], rarity[at], hub[at]
+    ties["count"] = np.diff(np.append(at, len(rows)))
+    bounds = np.searchsorted(rows[at], np.arange(len(pdf) + 1))
+    out = [
+        (chunk, ties[bounds[k] : bounds[k + 1]].tobytes(), meta)
+        for k, (chunk, meta) in enumerate(zip(pdf.chunk, pdf.meta, strict=True))
+        if bounds[k + 1] > bounds[k] or meta is not None
+    ]
+    return pd.DataFrame(out, columns=["chunk", "ties", "meta"])
 
 
 _NODES = "node long, doc_id long, text_key long, n_shingles long, digest binary, hubs array<long>"
 
 
+def _spread(ties: np.ndarray, documents_: int, all_counts: np.ndarray, members: np.ndarray) -> np.ndarray:
+    """The ties with those of stand-ins given to every document they stand for."""
+    stood = ties["place"] >= documents_
+    which = ties["place"][stood].astype(np.int64) - documents_
+    counts = all_counts[which]
+    spread = np.repeat(ties[stood], counts)
+    begins = (np.cumsum(all_counts) - all_counts)[which]
+    within = np.arange(len(spread)) - np.repeat(np.cumsum(counts) - counts, counts)
+    spread["place"] = members[np.repeat(begins, counts) + within]
+    return np.concatenate([ties[~stood], spread])
+
+
 def _own_prefix(pdf: pd.DataFrame) -> pd.DataFrame:
     """The documents of a slice, each with the ties inside its prefix."""
-    meta = next(m for m in pdf.meta if m is not None)
-    nodes = np.frombuffer(meta, _NODE)
-    ties = np.concatenate([np.frombuffer(t, _TIE) for t in pdf.ties])
+    nodes, counts, members = pickle.loads(next(m for m in pdf.meta if m is not None))
+    ties = _spread(np.concatenate([np.frombuffer(t, _TIE) for t in pdf.ties]), len(nodes), counts.astype(np.int64), members)
     ties = ties[np.lexsort((ties["rarity"], ties["place"]))]
     place, rarity, count = ties["place"].astype(np.int64), ties["rarity"].astype(np.int64), ties["count"].astype(np.int64)
     n = nodes["n"]
@@ -227,13 +305,13 @@ def _own_prefix(pdf: pd.DataFrame) -> pd.DataFrame:
     new_place = np.diff(place, prepend=-1) != 0
     place_start = before[np.maximum.accumulate(np.where(new_place, np.arange(len(ties)), 0))] if len(ties) else before
     rarer = alone[place] + group_start - place_start
-    own = (int(pdf.chunk.iloc[0]) << 16) + place
+    own = (int(pdf.chunk.iloc[0]) << _PLACE_BITS) + place
     inside = (rarer < prefix_length(n)[place]) & (ties["hub"] >= 0) & (ties["hub"] != own)
     pairs = np.unique(np.stack([place[inside], ties["hub"][inside]]), axis=1) if inside.any() else np.zeros((2, 0), np.int64)
     hubs = np.split(pairs[1], np.searchsorted(pairs[0], np.arange(1, len(n)))) if len(n) else []
     return pd.DataFrame(
         {
-            "node": (int(pdf.chunk.iloc[0]) << 16) + np.arange(len(n)),
+            "node": (int(pdf.chunk.iloc[0]) << _PLACE_BITS) + np.arange(len(n)),
             "doc_id": pd.arrays.IntegerArray(nodes["doc_id"].copy(), ~nodes["known"]),
             "text_key": nodes["text_key"].copy(),
             "n_shingles": n.copy(),
