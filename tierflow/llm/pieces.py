@@ -33,7 +33,10 @@ from tierflow.llm.common import slices, texts
 
 MODEL = "piece_bpe_32k.model"
 BEST = 4
-CACHED_CHUNKS = 500_000
+# What a task keeps of chunks and their parts, in each of two generations.
+KEPT_CHUNKS = 300_000
+KEPT_PARTS = 150_000
+KEPT_FULL = 20_000
 BLANK = chr(0x2581)
 _UNKNOWN_PENALTY = 10.0
 
@@ -54,8 +57,13 @@ class Lattice:
         self.unknown_score = min(score for _, score in self.arcs.values()) - _UNKNOWN_PENALTY
         self.bytes = {b: model.piece_to_id(f"<0x{b:02X}>") for b in range(256)}
         self.as_bytes = {i: name.encode() for i, name in self.names.items()} | {i: bytes([b]) for b, i in self.bytes.items()}
-        # Beginnings of pieces: no longer piece can start with anything else.
-        self.beginnings = {name[:k] for name in self.arcs for k in range(1, len(name) + 1)}
+        # The pieces by their characters: a node leads on by the next character, and at "" has the arc of the piece it ends.
+        self.tree: dict = {}
+        for name, arc in self.arcs.items():
+            node = self.tree
+            for character in name:
+                node = node.setdefault(character, {})
+            node[""] = arc
         # Pairs of neighbours inside any piece; between other pairs the lattice falls apart.
         self.pairs = {name[k : k + 2] for name in self.arcs for k in range(len(name) - 1)}
 
@@ -70,18 +78,19 @@ class Lattice:
         forward = [float("-inf")] * (size + 1)
         forward[0] = 0.0
         ending: list[list] = [[] for _ in range(size + 1)]
-        arcs, beginnings = self.arcs, self.beginnings
+        arcs, tree = self.arcs, self.tree
         for start in range(size):
-            so_far = forward[start]
-            for end in range(start + 1, size + 1):
-                name = chunk[start:end]
-                if name not in beginnings:
+            so_far, node, end = forward[start], tree, start
+            for character in chunk[start : start + self.longest]:
+                node = node.get(character)
+                if node is None:
                     break
-                arc = arcs.get(name)
-                if arc is not None:
-                    ending[end].append((start, arc[0], arc[1]))
-                    if so_far + arc[1] > forward[end]:
-                        forward[end] = so_far + arc[1]
+                end += 1
+                if "" in node:
+                    piece, score = node[""]
+                    ending[end].append((start, piece, score))
+                    if so_far + score > forward[end]:
+                        forward[end] = so_far + score
             if chunk[start] not in arcs:
                 ending[start + 1].append((start, -1 - ord(chunk[start]), self.unknown_score))
                 if so_far + self.unknown_score > forward[start + 1]:
@@ -115,40 +124,55 @@ class Lattice:
         return text[1:] if text.startswith(" ") else text
 
 
-class Chunks(dict):
-    """What is known of a chunk: (ids as bytes, score, costs of its next best segmentations); bounded."""
+class Kept(dict):
+    """Results by text, in two generations: when the young one is full it becomes the old one, and what is used moves up.
 
-    def __init__(self, lattice: Lattice, n: int):
-        self.lattice, self.n = lattice, n
-        self.inner: dict[str, tuple] = {}
+    So common texts stay and memory is bounded; texts of more than 32 characters are not kept.
+    """
 
-    def _part(self, part: str) -> tuple:
-        known = self.inner.get(part)
-        if known is None:
-            found = self.lattice.best(part, self.n)
-            known = (np.array(found[0][1], "<i4").tobytes(), found[0][0], tuple(found[0][0] - score for score, _ in found[1:]))
-            if len(part) <= 32:
-                if len(self.inner) >= CACHED_CHUNKS:
-                    self.inner.clear()
-                self.inner[part] = known
-        return known
+    def __init__(self, find, room: int):
+        self.find, self.room, self.old = find, room, {}
 
-    def __missing__(self, chunk: str) -> tuple:
-        parts = [self._part(part) for part in self.lattice.parts(chunk)]
-        costs = sorted(cost for part in parts for cost in part[2])[: self.n - 1]
-        known = (b"".join([p[0] for p in parts]), sum([p[1] for p in parts]), costs[0] if costs else np.inf)
-        if len(chunk) <= 32:
-            if len(self) >= CACHED_CHUNKS:
+    def __missing__(self, text: str) -> tuple:
+        known = self.old.get(text)
+        if known is None:
+            known = self.find(text)
+        if len(text) <= 32:
+            if len(self) >= self.room:
+                self.old = dict(self)
                 self.clear()
-            self[chunk] = known
+            self[text] = known
         return known
 
+
+class Chunks:
+    """The N best segmentations of texts; chunks are solved once while they are kept."""
+
+    def __init__(self, lattice: Lattice, n: int):
+        self.lattice, self.n = lattice, n
+        self.parts = Kept(self._part, KEPT_PARTS)
+        self.full = Kept(lambda part: lattice.best(part, n), KEPT_FULL)
+        self.chunks = Kept(self._chunk, KEPT_CHUNKS)
+
+    def _part(self, part: str) -> tuple:
+        """(ids as bytes, score, cost of the cheapest change); all N are searched only where a text may need them."""
+        found = self.lattice.best(part, min(self.n, 2))
+        cost = found[0][0] - found[1][0] if len(found) > 1 else np.inf
+        return (np.array(found[0][1], "<i4").tobytes(), found[0][0], cost)
+
+    def _chunk(self, chunk: str) -> tuple:
+        """(ids as bytes, score, cost of the cheapest change)"""
+        parts = [self.parts[part] for part in self.lattice.parts(chunk)]
+        if len(parts) == 1:
+            return parts[0]
+        return (b"".join([p[0] for p in parts]), sum([p[1] for p in parts]), min([p[2] for p in parts]))
+
     def segment(self, text: str) -> tuple[np.ndarray, list[tuple[float, np.ndarray]]]:
         """Ids of the best segmentation, and the N best as (score, ids)."""
         if not text:
             return np.zeros(0, "<i4"), [(0.0, np.zeros(0, "<i4"))]
         chunks = _CHUNKS.findall(BLANK + text.replace(" ", BLANK))
-        known = list(map(self.__getitem__, chunks))
+        known = list(map(self.chunks.__getitem__, chunks))
         best, score = np.frombuffer(b"".join([k[0] for k in known]), "<i4"), sum([k[1] for k in known])
         if self.n == 1:
             return best, [(score, best)]
@@ -165,7 +189,8 @@ class Chunks(dict):
         for place in some.tolist():
             parts = self.lattice.parts(chunks[place])
             for k, part in enumerate(parts):
-                changes += [(cost, place, k, other + 1) for other, cost in enumerate(self._part(part)[2])]
+                found = self.full[part]
+                changes += [(found[0][0] - score, place, k, other) for other, (score, _) in enumerate(found) if other]
         changes.sort()
         sums: list[tuple[float, tuple]] = [(0.0, ())]
         for change in changes[: self.n - 1]:
@@ -181,7 +206,7 @@ class Chunks(dict):
             pieces.append(best[at : starts[place]])
             for k, part in enumerate(self.lattice.parts(chunks[place])):
                 other = next((t[3] for t in taken if t[1:3] == (place, k)), 0)
-                pieces.append(np.array(self.lattice.best(part, other + 1)[other][1], "<i4"))
+                pieces.append(np.array(self.full[part][other][1], "<i4"))
             at = starts[place] + lengths[place]
         return np.concatenate([*pieces, best[at:]])
 
