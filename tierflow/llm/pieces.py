@@ -40,7 +40,7 @@ KEPT_FULL = 20_000
 BLANK = chr(0x2581)
 _UNKNOWN_PENALTY = 10.0
 
-_CHUNKS = re.compile(f"\n|{BLANK}*[^{BLANK}\n]+|{BLANK}+")
+_CHUNKS = re.compile("\n| *[^ \n]+| +")
 
 
 class Lattice:
@@ -56,6 +56,12 @@ class Lattice:
         self.longest = max(map(len, self.arcs))
         self.unknown_score = min(score for _, score in self.arcs.values()) - _UNKNOWN_PENALTY
         self.bytes = {b: model.piece_to_id(f"<0x{b:02X}>") for b in range(256)}
+        # The score of each id; an unknown character's is on its first byte, so ids alone give the total.
+        self.scores = np.zeros(model.get_piece_size())
+        for piece, score in self.arcs.values():
+            self.scores[piece] = score
+        for byte, piece in self.bytes.items():
+            self.scores[piece] = 0.0 if 0x80 <= byte < 0xC0 else self.unknown_score
         self.as_bytes = {i: name.encode() for i, name in self.names.items()} | {i: bytes([b]) for b, i in self.bytes.items()}
         # The pieces by their characters: a node leads on by the next character, and at "" has the arc of the piece it ends.
         self.tree: dict = {}
@@ -155,31 +161,32 @@ class Chunks:
         self.chunks = Kept(self._chunk, KEPT_CHUNKS)
 
     def _part(self, part: str) -> tuple:
-        """(ids as bytes, score, cost of the cheapest change); all N are searched only where a text may need them."""
+        """(ids as bytes, cost of the cheapest change); all N are searched only where a text may need them."""
         found = self.lattice.best(part, min(self.n, 2))
         cost = found[0][0] - found[1][0] if len(found) > 1 else np.inf
-        return (np.array(found[0][1], "<i4").tobytes(), found[0][0], cost)
+        return (np.array(found[0][1], "<i4").tobytes(), cost)
 
     def _chunk(self, chunk: str) -> tuple:
-        """(ids as bytes, score, cost of the cheapest change)"""
-        parts = [self.parts[part] for part in self.lattice.parts(chunk)]
+        """The same of a chunk, which still has its plain blanks."""
+        parts = [self.parts[part] for part in self.lattice.parts(chunk.replace(" ", BLANK))]
         if len(parts) == 1:
             return parts[0]
-        return (b"".join([p[0] for p in parts]), sum([p[1] for p in parts]), min([p[2] for p in parts]))
+        return (b"".join([p[0] for p in parts]), min([p[1] for p in parts]))
 
     def segment(self, text: str) -> tuple[np.ndarray, list[tuple[float, np.ndarray]]]:
         """Ids of the best segmentation, and the N best as (score, ids)."""
         if not text:
             return np.zeros(0, "<i4"), [(0.0, np.zeros(0, "<i4"))]
-        chunks = _CHUNKS.findall(BLANK + text.replace(" ", BLANK))
+        chunks = _CHUNKS.findall(" " + (text.replace(BLANK, " ") if BLANK in text else text))
         known = list(map(self.chunks.__getitem__, chunks))
-        best, score = np.frombuffer(b"".join([k[0] for k in known]), "<i4"), sum([k[1] for k in known])
+        ids = [k[0] for k in known]
+        best = np.frombuffer(b"".join(ids), "<i4")
+        score = float(self.lattice.scores[best].sum())
         if self.n == 1:
             return best, [(score, best)]
-        return best, [(score, best), *self._others(chunks, known, best, score)]
+        return best, [(score, best), *self._others(chunks, ids, np.array([k[1] for k in known]), best, score)]
 
-    def _others(self, chunks: list[str], known: list[tuple], best: np.ndarray, score: float) -> list[tuple[float, np.ndarray]]:
-        cheapest = np.array([k[2] for k in known])
+    def _others(self, chunks: list[str], ids: list[bytes], cheapest: np.ndarray, best: np.ndarray, score: float) -> list[tuple[float, np.ndarray]]:
         wanted = min(self.n - 1, len(chunks))
         limit = np.partition(cheapest, wanted - 1)[wanted - 1]
         # Chunks whose own cheapest change is among the first: all other changes cost more than these.
@@ -187,8 +194,7 @@ class Chunks:
         some = some[np.argsort(cheapest[some], kind="stable")][:wanted]
         changes = []
         for place in some.tolist():
-            parts = self.lattice.parts(chunks[place])
-            for k, part in enumerate(parts):
+            for k, part in enumerate(self.lattice.parts(chunks[place].replace(" ", BLANK))):
                 found = self.full[part]
                 changes += [(found[0][0] - score, place, k, other) for other, (score, _) in enumerate(found) if other]
         changes.sort()
@@ -196,18 +202,17 @@ class Chunks:
         for change in changes[: self.n - 1]:
             more = [(cost + change[0], (*taken, change)) for cost, taken in sums if all(t[1:3] != change[1:3] for t in taken)]
             sums = sorted(sums + more, key=lambda s: (s[0], len(s[1]), s[1]))[: self.n]
-        lengths = np.array([len(k[0]) // 4 for k in known])
-        starts = np.cumsum(lengths) - lengths
-        return [(score - cost, self._changed(chunks, best, starts, lengths, taken)) for cost, taken in sums[1 : self.n]]
+        starts = {place: sum(map(len, ids[:place])) // 4 for place in {change[1] for change in changes[: self.n - 1]}}
+        return [(score - cost, self._changed(chunks, ids, best, starts, taken)) for cost, taken in sums[1 : self.n]]
 
-    def _changed(self, chunks: list[str], best: np.ndarray, starts: np.ndarray, lengths: np.ndarray, taken: tuple) -> np.ndarray:
+    def _changed(self, chunks: list[str], ids: list[bytes], best: np.ndarray, starts: dict[int, int], taken: tuple) -> np.ndarray:
         pieces, at = [], 0
         for place in sorted({t[1] for t in taken}):
             pieces.append(best[at : starts[place]])
-            for k, part in enumerate(self.lattice.parts(chunks[place])):
+            for k, part in enumerate(self.lattice.parts(chunks[place].replace(" ", BLANK))):
                 other = next((t[3] for t in taken if t[1:3] == (place, k)), 0)
                 pieces.append(np.array(self.full[part][other][1], "<i4"))
-            at = starts[place] + lengths[place]
+            at = starts[place] + len(ids[place]) // 4
         return np.concatenate([*pieces, best[at:]])
 
 
