@@ -33,7 +33,7 @@ END = 2
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # A worker keeps the ids of this many distinct words.
 CACHED_WORDS = 700_000
-ROWS_A_BUCKET = 1000
+ROWS_A_BUCKET = 20_000
 
 # Runs of non-blanks with the blank before them, and runs of blanks: the pre-tokeniser never joins across these.
 # The white space of Unicode, by code point.
