@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import free_name, frozen, whole_text
+from tierflow.llm.common import bind, free_name, frozen, whole_text
 
 MAX_OWNERS = 2
 MIN_DISTINCT_CHARS = 8
@@ -66,22 +66,26 @@ def _found(text: Column, kind: Kind, order: int) -> Column:
     values = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(kind.group))
     gaps = F.split(text, kind.pattern, -1)
 
-    def step(state: Column, i: Column) -> Column:
-        start = state["at"] + F.length(F.get(gaps, i))
-        end = start + F.length(F.get(matches, i))
+    def step(found: Column, state: Column, i: Column) -> Column:
+        start = state["at"] + F.length(F.get(found["gaps"], i))
+        end = start + F.length(F.get(found["matches"], i))
         span = F.struct(
             start.alias("start"),
             F.lit(order).alias("kind_order"),
             end.alias("end"),
             F.lit(kind.name).alias("kind"),
-            F.get(values, i).alias("value"),
+            F.get(found["values"], i).alias("value"),
         )
         return F.struct(end.alias("at"), F.array_append(state["spans"], span).alias("spans"))
 
     begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.expr(f"cast(array() as array<{_SPAN}>)").alias("spans"))
-    places = F.sequence(F.lit(0), F.size(matches) - 1)
-    # The state must keep one type: lengths are ints, places are longs.
-    spans = F.aggregate(places, begin, lambda s, i: step(s, i).cast(f"struct<at:bigint,spans:array<{_SPAN}>>"), lambda s: s["spans"])
+
+    def walked(found: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(found["matches"]) - 1)
+        # The state must keep one type: lengths are ints, places are longs.
+        return F.aggregate(places, begin, lambda s, i: step(found, s, i).cast(f"struct<at:bigint,spans:array<{_SPAN}>>"), lambda s: s["spans"])
+
+    spans = bind(F.struct(matches.alias("matches"), values.alias("values"), gaps.alias("gaps")), walked)
     if kind.least:
         spans = F.filter(spans, lambda span: F.length(span["value"]) >= kind.least)
     return F.when(text.rlike(kind.gate) & text.rlike(kind.pattern), spans).otherwise(F.expr(f"cast(array() as array<{_SPAN}>)"))
