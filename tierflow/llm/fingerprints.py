@@ -18,6 +18,7 @@ one output row; an empty table gives an empty result. Other columns of the input
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -26,39 +27,58 @@ from tierflow.llm.common import whole_text
 
 SAMPLES = 24
 ROWS_A_RANGE = 2000
+# The bounds of ranges are part of the plan; beyond this number ranges hold more rows, and their windows spill.
+MAX_RANGES = 20_000
+# Gamma numbers come from this many bits of a hash: 1024 equally likely values, small enough to be part of the plan.
+GAMMA_BITS = 10
 # A sample as text: twelve hexadecimal digits.
 DIGITS = 12
 
 _BLANKS = r"[\x20\x09-\x0D]+"
 
 
-def _uniform(bits: Column, shift: int) -> Column:
-    """A number in (0, 1) from 32 bits of a hash."""
-    part = F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit(0xFFFFFFFF))
-    return (part.cast("double") + 0.5) / float(1 << 32)
+def gamma_values(size: int) -> np.ndarray:
+    """`size` equally likely values of a Gamma(2, 1) number: the inverse of its distribution at the middles of equal steps."""
+    wanted = (np.arange(size) + 0.5) / size
+    low, high = np.zeros(size), np.full(size, 60.0)
+    for _ in range(80):
+        middle = (low + high) / 2
+        below = 1 - np.exp(-middle) * (1 + middle) < wanted
+        low, high = np.where(below, middle, low), np.where(below, high, middle)
+    return (low + high) / 2
 
 
-def sample(word: Column, log_weight: Column, number: int) -> Column:
-    """The word's draw for one sample as a long: value in the high bits, so the smallest one wins; hash below.
+def _constant(values: np.ndarray) -> Column:
+    """An array of doubles as one constant of the plan."""
+    return F.split(F.lit(",".join(map(repr, values.tolist()))), ",").cast("array<double>")
 
-    `word` is the word's 64-bit hash. The logarithm of the value is cut to steps of 2**-17 and shifted to be positive; equal
-    steps are decided by the hash of word and level.
+
+def _bits(hashed: Column, shift: int, width: int) -> Column:
+    return F.shiftrightunsigned(hashed, shift).bitwiseAND(F.lit((1 << width) - 1))
+
+
+def sample(word: Column, log_weight: Column, number: int, gammas: Column, log_gammas: Column) -> Column:
+    """The word's draw for one sample as a long: value in the high bits, so the smallest one wins; word and level below.
+
+    `word` is the word's 64-bit hash. One hash per sample gives two gamma numbers, drawn from equally likely values, and a
+    uniform one. The logarithm of the value is cut to steps of 2**-17 and shifted to be positive.
     """
-    gammas, others, shift = (F.xxhash64(word, F.lit(3 * number + k)) for k in range(3))
-    r = -F.ln(_uniform(gammas, 0) * _uniform(gammas, 32))
-    log_c = F.ln(-F.ln(_uniform(others, 0) * _uniform(others, 32)))
-    b = _uniform(shift, 0)
+    hashed = F.xxhash64(word, F.lit(number))
+    r = F.get(gammas, _bits(hashed, 0, GAMMA_BITS).cast("int"))
+    log_c = F.get(log_gammas, _bits(hashed, GAMMA_BITS, GAMMA_BITS).cast("int"))
+    b = (_bits(hashed, 32, 32).cast("double") + 0.5) / float(1 << 32)
     level = F.floor(log_weight / r + b)
     log_value = log_c - r * (level - b) - r
     steps = ((log_value + 128.0) * float(1 << 17)).cast("long")
     high = F.shiftleft(F.least(F.greatest(steps, F.lit(0)), F.lit((1 << 27) - 1)), 36)
-    return high.bitwiseOR(F.xxhash64(word, level).bitwiseAND(F.lit((1 << 36) - 1)))
+    low = word.bitwiseXOR(F.shiftleft(level, 13)).bitwiseAND(F.lit((1 << 36) - 1))
+    return high.bitwiseOR(low)
 
 
 def ranges(documents: DataFrame, rows: int = ROWS_A_RANGE) -> tuple[list[int], int]:
     """The first ids of the ranges after the first, and the number of rows. A range holds whole ids."""
     count = documents.count()
-    dealt = documents.select("doc_id").where("doc_id IS NOT NULL").repartitionByRange(max(1, count // rows), "doc_id")
+    dealt = documents.select("doc_id").where("doc_id IS NOT NULL").repartitionByRange(max(1, min(count // rows, MAX_RANGES)), "doc_id")
     firsts = dealt.groupBy(F.spark_partition_id()).agg(F.min("doc_id").alias("first")).select("first").collect()
     return sorted(row.first for row in firsts)[1:], count
 
@@ -91,7 +111,8 @@ def _dealt(documents: DataFrame) -> DataFrame:
         .select("first.doc_id", "first.text", (F.col("range") - 1).alias("range"), F.lit(True).alias("guest"))
     )
     order = Window.partitionBy("range").orderBy("guest", F.col("doc_id").asc_nulls_first(), "text")
-    together = dealt.unionByName(guests).unionByName(lowest)
+    # One partition per range: so many words are counted at a time as a range has, whatever the size of the table.
+    together = dealt.unionByName(guests).unionByName(lowest).repartition(len(firsts) + 1, "range")
     return together.withColumn("place", F.row_number().over(order)).withColumn("next_text", F.lead("text").over(order))
 
 
@@ -108,47 +129,46 @@ def likeness(one: Column, other: Column, samples: int = SAMPLES) -> Column:
     return F.size(same).cast("double") / float(samples)
 
 
+def _versions(told: Column, no_words: Column) -> list[tuple[int, Column, Column]]:
+    """(kind, what is known, words): the text's words, the edited text's, and the row's own facts."""
+    split = [F.split(name, _BLANKS) for name in ("text", "changed")]
+    nothing = F.when(F.lit(False), told)
+    return [(0, nothing, split[0]), (1, nothing, split[1]), (2, told, no_words)]
+
+
 def fingerprints(documents: DataFrame, samples: int = SAMPLES) -> DataFrame:
     """Per row the fingerprint of the text and of the edited text, and the likeness to that and to the next document."""
     rows = _dealt(documents)
     changed = F.when(F.col("guest"), F.lit("")).otherwise(edited(F.col("text"), F.col("next_text")))
-    rows = rows.select(
-        "range", "place", "doc_id", "guest", F.length("text").cast("long").alias("n_chars"), "text", changed.alias("changed")
-    ).withColumn("edited_sha256", F.sha2("changed", 256))
-    # The row's own columns travel as one entry of the exploded rows (kind 2), so nothing has to be joined back.
-    split = lambda name: F.filter(F.split(name, _BLANKS), lambda word: word != "")
-    words = rows.select(
-        "range",
-        "place",
-        "doc_id",
-        "guest",
-        "n_chars",
-        "edited_sha256",
-        F.explode(
-            F.array(
-                F.struct(F.lit(0).alias("kind"), F.array_append(split("text"), F.lit("")).alias("words")),
-                F.struct(F.lit(1).alias("kind"), F.array_append(split("changed"), F.lit("")).alias("words")),
-            )
-        ).alias("version"),
-    ).select("range", "place", "doc_id", "guest", "n_chars", "edited_sha256", "version.kind", F.explode("version.words").alias("word"))
-    keys = ["range", "place", "doc_id", "guest", "n_chars", "edited_sha256", "kind"]
-    counted = words.select(*keys, F.when(F.col("word") != "", F.xxhash64("word")).alias("word")).groupBy(*keys, "word").agg(F.count("*").alias("weight"))
+    rows = rows.withColumn("changed", changed)
+    told = F.struct("doc_id", "guest", F.length("text").cast("long").alias("n_chars"), F.sha2("changed", 256).alias("edited_sha256"))
+    no_words = F.expr("cast(array() as array<string>)")
+    versions = F.array(*[F.struct(F.lit(kind).alias("kind"), told_.alias("told"), words.alias("words")) for kind, told_, words in _versions(told, no_words)])
+    # What is known of the row travels once, as an entry of its own (kind 2), so words stay narrow and nothing is joined back.
+    each = rows.select("range", "place", F.explode(versions).alias("version"))
+    words = each.select("range", "place", "version.kind", "version.told", F.explode_outer("version.words").alias("word"))
+    hashed = F.when(F.col("word") != "", F.xxhash64("word")).alias("word")
+    counted = words.select("range", "place", "kind", "told", hashed).groupBy("range", "place", "kind", "told", "word").agg(F.count("*").alias("weight"))
     drawn = counted.withColumn("log_weight", F.ln(F.col("weight").cast("double")))
-    smallest = [F.min(F.when(F.col("word").isNotNull(), sample(F.col("word"), F.col("log_weight"), k))).alias(f"s{k}") for k in range(samples)]
-    signed = drawn.groupBy(*keys).agg(*smallest)
+    values = gamma_values(1 << GAMMA_BITS)
+    tables = _constant(values), _constant(np.log(values))
+    draws = [sample(F.col("word"), F.col("log_weight"), k, *tables) for k in range(samples)]
+    smallest = [F.min(F.when(F.col("word").isNotNull(), draw)).alias(f"s{k}") for k, draw in enumerate(draws)]
+    signed = drawn.groupBy("range", "place", "kind", "told").agg(*smallest)
     low = [F.coalesce(F.col(f"s{k}").bitwiseAND(F.lit((1 << 36) - 1)), F.lit(0)) for k in range(samples)]
-    signed = signed.select(*keys, F.array(*low).alias("signature"))
-    whole = [key for key in keys if key != "kind"]
-    paired = signed.groupBy(*whole).agg(
-        F.max(F.when(F.col("kind") == 0, F.col("signature"))).alias("own"), F.max(F.when(F.col("kind") == 1, F.col("signature"))).alias("new")
+    signed = signed.select("range", "place", "kind", "told", F.array(*low).alias("signature"))
+    paired = signed.groupBy("range", "place").agg(
+        F.max("told").alias("told"),
+        F.max(F.when(F.col("kind") == 0, F.col("signature"))).alias("own"),
+        F.max(F.when(F.col("kind") == 1, F.col("signature"))).alias("new"),
     )
     order = Window.partitionBy("range").orderBy("place")
-    paired = paired.withColumn("following", F.lead("own").over(order)).where(~F.col("guest"))
+    paired = paired.withColumn("following", F.lead("own").over(order)).where(~F.col("told.guest"))
     text = lambda name: F.concat_ws("", F.transform(name, lambda s: F.lpad(F.lower(F.hex(s)), DIGITS, "0")))
     return paired.select(
-        "doc_id",
-        "n_chars",
-        "edited_sha256",
+        "told.doc_id",
+        "told.n_chars",
+        "told.edited_sha256",
         text("own").alias("fingerprint"),
         text("new").alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("new"), samples).alias("near_edited"),
