@@ -57,7 +57,7 @@ def _bits(hashed: Column, shift: int, width: int) -> Column:
     return F.shiftrightunsigned(hashed, shift).bitwiseAND(F.lit((1 << width) - 1))
 
 
-def sample(word: Column, log_weight: Column, number: int, gammas: Column, log_gammas: Column) -> Column:
+def sample(word: Column, log_weight: Column, number: int, gammas: Column) -> Column:
     """The word's draw for one sample as a long: value in the high bits, so the smallest one wins; word and level below.
 
     `word` is the word's 64-bit hash. One hash per sample gives two gamma numbers, drawn from equally likely values, and a
@@ -65,7 +65,7 @@ def sample(word: Column, log_weight: Column, number: int, gammas: Column, log_ga
     """
     hashed = F.xxhash64(word, F.lit(number))
     r = F.get(gammas, _bits(hashed, 0, GAMMA_BITS).cast("int"))
-    log_c = F.get(log_gammas, _bits(hashed, GAMMA_BITS, GAMMA_BITS).cast("int"))
+    log_c = F.ln(F.get(gammas, _bits(hashed, GAMMA_BITS, GAMMA_BITS).cast("int")))
     b = (_bits(hashed, 32, 32).cast("double") + 0.5) / float(1 << 32)
     level = F.floor(log_weight / r + b)
     log_value = log_c - r * (level - b) - r
@@ -150,9 +150,8 @@ def fingerprints(documents: DataFrame, samples: int = SAMPLES) -> DataFrame:
     hashed = F.when(F.col("word") != "", F.xxhash64("word")).alias("word")
     counted = words.select("range", "place", "kind", "told", hashed).groupBy("range", "place", "kind", "told", "word").agg(F.count("*").alias("weight"))
     drawn = counted.withColumn("log_weight", F.ln(F.col("weight").cast("double")))
-    values = gamma_values(1 << GAMMA_BITS)
-    tables = _constant(values), _constant(np.log(values))
-    draws = [sample(F.col("word"), F.col("log_weight"), k, *tables) for k in range(samples)]
+    gammas = _constant(gamma_values(1 << GAMMA_BITS))
+    draws = [sample(F.col("word"), F.col("log_weight"), k, gammas) for k in range(samples)]
     smallest = [F.min(F.when(F.col("word").isNotNull(), draw)).alias(f"s{k}") for k, draw in enumerate(draws)]
     signed = drawn.groupBy("range", "place", "kind", "told").agg(*smallest)
     low = [F.coalesce(F.col(f"s{k}").bitwiseAND(F.lit((1 << 36) - 1)), F.lit(0)) for k in range(samples)]
