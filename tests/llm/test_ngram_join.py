@@ -128,6 +128,36 @@ def test_spanning_links_connect_what_is_connected(sets):
     assert top == want
 
 
+def bridge():
+    """Two families of near copies that only one pair joins, beside sets that share passages with them."""
+    passage, own, other, new = list(range(10)), list(range(10, 40)), list(range(40, 45)), iter(range(100, 10_000))
+
+    def swapped(held, gone, to=None):
+        return frozenset(held) - set(gone) | set(to or [next(new) for _ in gone])
+
+    first = frozenset(passage + own)
+    x = swapped(first, passage[:5])
+    y = swapped(x, passage[5:])
+    last = swapped(y, own[:5], other)
+    small = [first, x, *(swapped(first, [k]) for k in own[5:8])]
+    large = [last, y, *(swapped(last, [k]) for k in own[8:14])]
+    beside = [frozenset(p) | {next(new) for _ in range(30)} for p in [passage] * 30 + [other] * 15]
+    return [*small, *large, *beside]
+
+
+def test_a_single_pair_joins_two_families():
+    sets = bridge()
+    links = spanning_links([np.array(sorted(s), np.uint64) for s in sets])
+    assert all(linked(sets[a], sets[b]) for a, b in links)
+    want = groups(sets)
+    assert want[:13] == [0] * 13 and len(set(want)) == 46
+    top = list(range(len(sets)))
+    for _ in sets:
+        for a, b in links:
+            top[a] = top[b] = min(top[a], top[b])
+    assert top == want
+
+
 def test_shingles_equal_words():
     a, b, c = shingle_sets(["One two three four five six", "one TWO\tthree\nfour five six", "one two three four five"])
     assert np.array_equal(a, b) and len(a) == 2 and len(c) == 1 and c[0] in a

@@ -414,17 +414,22 @@ def spanning_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple
     holds = np.zeros(len(elements), bool)
     links = []
     # The set with the most common elements first: in a group of near copies it links most of them.
-    for query in sorted(range(len(sets)), key=lambda k: (-weight[k], k)):
-        if links:
-            sizes = np.bincount(group)
-            if sizes[group[query]] == sizes.max() and group[query] == int(sizes.argmax()):
-                continue  # a link out of the largest group has its other end outside, and that end searches
-        holds[ranked[query]] = True
-        for other in tree.similar(ranked[query], holds, percent):
-            if group[other] != group[query]:
-                links.append((query, other))
-                group[group == group[other]] = group[query]
-        holds[ranked[query]] = False
+    waiting = sorted(range(len(sets)), key=lambda k: (-weight[k], k))
+    while waiting:
+        skipped = []
+        for query in waiting:
+            if links and group[query] == np.bincount(group).argmax():
+                skipped.append(query)  # a link out of the largest group has its other end outside, and that end searches
+                continue
+            holds[ranked[query]] = True
+            for other in tree.similar(ranked[query], holds, percent):
+                if group[other] != group[query]:
+                    links.append((query, other))
+                    group[group == group[other]] = group[query]
+            holds[ranked[query]] = False
+        # Another group may have become the largest since: both ends of a link can have been skipped. Sets skipped wait
+        # again until all of them lie in the group that is the largest at the end.
+        waiting = skipped if (group[skipped] != np.bincount(group).argmax()).any() else []
     return links
 
 
