@@ -8,6 +8,8 @@ Texts are scanned once; what was found (no text) is written to the shared folder
 read it. Counts shrink to distinct (hash, repository, owner) before hashes meet; only hashes over the limit are joined
 back, from a written table, so that a join on a very frequent hash can be split.
 
+The value of a private key is its base64 body, however its lines are broken; a header without a body is never live.
+
 Defined results: a null text is the empty text and has no spans; a null repository or owner is a value of its own ("").
 Every input row gives one output row, repeated rows and null ids included; repeated rows count once per owner. An empty
 table gives an empty result. Other columns of the input are ignored, whatever their names.
@@ -24,17 +26,23 @@ from tierflow.llm.common import bind, free_name, frozen, whole_text
 
 MAX_OWNERS = 2
 MIN_DISTINCT_CHARS = 8
+# Words of a placeholder also occur by chance in longer keys, and OpenSSH keys hold runs of one letter.
+KEY_CHARS = 64
 
 
 @dataclass(frozen=True)
 class Kind:
-    """`gate` is a cheap test that a text can match at all; the value is group `group`, kept from `least` characters."""
+    """`gate` is a cheap test that a text can match at all; the value is group `group`, kept from `least` characters.
+
+    What matches `filler` is no part of the value.
+    """
 
     name: str
     gate: str
     pattern: str
     group: int = 0
     least: int = 0
+    filler: str = ""
 
 
 #: The fixed kinds first, in their fixed order, then those of the method.
@@ -49,8 +57,22 @@ BASE = (
     Kind("access", r"AKIA", r"AKIA[A-Z0-9]{16,}"),
     Kind("hex", r"[0-9a-f]{24}", r"[0-9a-f]{24,}"),
 )
+#: A key's block goes to its END line, or over the headers and base64 lines that follow if there is none. Line breaks can be
+#: written as escapes. Repeated groups are possessive: Java walks those in a loop, without a stack.
+_KEY_END = r"-----END [A-Z ]{0,30}PRIVATE KEY-----"
+_BREAK = r"""[\s"',]*+(?:\\[rn][\s"',]*+)*+"""
+_KEY_LINES = (
+    rf"(?:{_BREAK}[A-Za-z]++-[A-Za-z]++:[^\r\n\\]*+)*+(?:{_BREAK}[A-Za-z0-9+/]{{16,}}+={{0,2}}+)++"
+    rf"""(?:(?<!=){_BREAK}[A-Za-z0-9+/]++={{0,2}}+(?=[ \t]*+(?:[\r\n\\"']|$)))?"""
+)
 ADDED = (
-    Kind("private_key", r"-----BEGIN ", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"),
+    Kind(
+        "private_key",
+        r"-----BEGIN ",
+        rf"-----BEGIN [A-Z ]{{0,30}}PRIVATE KEY-----([^-]*+(?:-{{1,4}}+[^-]++)*+(?={_KEY_END})|(?:{_KEY_LINES})?)(?:{_KEY_END})?",
+        group=1,
+        filler=r"\\[rn]|[^A-Za-z0-9+/=]",
+    ),
     Kind("forge_token", r"gh[opsur]_", r"gh[opsur]_[A-Za-z0-9]{36,}"),
     Kind("chat_token", r"xox[abprs]-", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Kind("web_token", r"eyJ", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
@@ -64,6 +86,8 @@ def _found(text: Column, kind: Kind, order: int) -> Column:
     """The kind's spans in a text: matches and the gaps between them give the places in code points."""
     matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(kind.group))
+    if kind.filler:
+        values = F.transform(values, lambda value: F.regexp_replace(value, kind.filler, ""))
     gaps = F.split(text, kind.pattern, -1)
 
     def step(found: Column, state: Column, i: Column) -> Column:
@@ -96,8 +120,9 @@ def spans_in(text: Column, kinds: tuple[Kind, ...] = KINDS) -> Column:
     return F.array_sort(F.concat(*[_found(text, kind, order) for order, kind in enumerate(kinds)]))
 
 
-def looks_random(value: Column) -> Column:
-    return (F.size(F.array_distinct(F.split(value, ""))) >= MIN_DISTINCT_CHARS) & ~value.rlike(_PLACEHOLDER)
+def looks_random(value: Column, kind: Column) -> Column:
+    whole_key = (kind == "private_key") & (F.length(value) >= KEY_CHARS)
+    return (F.size(F.array_distinct(F.split(value, ""))) >= MIN_DISTINCT_CHARS) & (whole_key | ~value.rlike(_PLACEHOLDER))
 
 
 def scan(documents: DataFrame, repository: Column, owner: Column) -> DataFrame:
@@ -116,7 +141,7 @@ def scan(documents: DataFrame, repository: Column, owner: Column) -> DataFrame:
             span["end"].alias("end"),
             span["kind"].alias("kind"),
             F.sha2(span["value"], 256).alias("hash"),
-            looks_random(span["value"]).alias("random"),
+            looks_random(span["value"], span["kind"]).alias("random"),
         )
 
     return frozen(found.withColumn("spans", F.transform("spans", candidate)), "secret-spans")
@@ -177,7 +202,7 @@ def mask_live(documents: DataFrame, repository: Column, owner: Column, max_owner
         "spans",
         F.transform(
             "spans",
-            lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), F.sha2(s["value"], 256).alias("hash"), looks_random(s["value"]).alias("random")),
+            lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), F.sha2(s["value"], 256).alias("hash"), looks_random(s["value"], s["kind"]).alias("random")),
         ),
     )
     scanned = frozen(found.where(F.size("spans") > 0), "secret-spans")
