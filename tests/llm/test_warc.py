@@ -76,6 +76,21 @@ def test_records_across_splits(spark, size):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_files_cut_otherwise_later(spark):
+    """Cores that come or go while a query runs change how Spark cuts and packs the files."""
+    path = scratch_path(spark, "archives")
+    write_archives(pages(spark, rows()), path)
+    found = read_archives(spark, path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        assert told(found) == brute(rows())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_payload_bytes_come_back(spark):
     want = {i: (h or "").encode() for i, _, h in rows()}
     for row in round_trip(pages(spark, rows())).collect():

@@ -103,7 +103,10 @@ def _header(name: str) -> Column:
 
 def candidates(spark: SparkSession, path: str) -> DataFrame:
     """Every piece with its place and, if it begins like a record, the place of its successor; a written table without bodies."""
-    found = pieces(spark, path)
+    return _placed(pieces(spark, path))
+
+
+def _placed(found: DataFrame) -> DataFrame:
     # The header ends at the first blank line. Only its beginning is looked at: headers are short, bodies are not.
     text = F.col("body").cast("string")
     head = F.substring_index(text, _END, 1)
@@ -172,7 +175,10 @@ def _recut(runs: DataFrame, entered: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """Per record page_id, url, payload_bytes, payload_digest, record_type, refers_to and the payload as read back (binary)."""
-    found = candidates(spark, path)
+    # The numbers of pieces follow from how Spark cuts and packs the files, which changes with the cores at hand: the files
+    # are read once, and numbers and bodies are written together.
+    bodies = frozen(pieces(spark, path), "bodies", compression="zstd")
+    found = _placed(bodies)
     real = reached(found).withColumn("real", F.lit(True))
     order = Window.partitionBy("file", "split").orderBy("at")
     known = frozen(found.join(real, ["file", "at"], "left").withColumn("owner", F.last(F.when(F.col("real"), F.col("at")), True).over(order)), "known")
@@ -189,8 +195,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     same = (F.col("file") == F.col("f")) & F.col("owner").eqNullSafe(F.col("cut"))
     left_over = owned.join(several, same).select(F.col("file").alias("f"), F.col("order").alias("o"), "owner", "at", F.lit(True).alias("left_over"))
     left_over = frozen(left_over, "left-over")
-    bodies = pieces(spark, path).select("file", "order", "body")
-    met = bodies.join(left_over, (F.col("file") == F.col("f")) & (F.col("order") == F.col("o")), "left")
+    met = bodies.select("file", "order", "body").join(left_over, (F.col("file") == F.col("f")) & (F.col("order") == F.col("o")), "left")
     whole = met.where("left_over IS NULL").select("body")
     glue = F.lit(MAGIC).cast("binary")
     parts = met.where("left_over AND owner IS NOT NULL").groupBy("file", "owner").agg(F.array_sort(F.collect_list(F.struct("at", "body"))).alias("parts"))
