@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tierflow.llm import fingerprints, licenses, logbilinear, ngram_join, packing, pieces, quality, secrets, toxicity, warc
+from tierflow.llm import fingerprints, hard_negatives, licenses, logbilinear, ngram_join, packing, pieces, quality, secrets, toxicity, warc
 from tierflow.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,33 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op1_piece_lattice")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.segment(documents(spark, folder))
+
+
+@_query(
+    "op13_secondary_sort",
+    """
+    WITH taken AS (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+      SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+        CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+      FROM taken a JOIN taken b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+    positives AS (
+      SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+    SELECT p.anchor_id, positive_id, CAST(row_number() OVER best AS INTEGER) AS rank, other_id AS negative_id,
+      positive_score, score AS negative_score
+    FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT same
+      AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+    WINDOW best AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)
+    QUALIFY rank <= 3
+    """,
+)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows whose id is divisible by 50 are anchors; the label of those divisible by 7 moves on by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(hard_negatives.usable_vectors(documents(spark, folder, "embeddings"), label), F.col("id") % 50 == 0)
