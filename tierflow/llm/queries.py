@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tierflow.llm import fingerprints, hard_negatives, licenses, logbilinear, ngram_join, packing, pieces, quality, secrets, toxicity, warc
+from tierflow.llm import collocations, fingerprints, hard_negatives, licenses, logbilinear, ngram_join, packing, pieces, quality, secrets, toxicity, url_models, warc
 from tierflow.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,55 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
     """Rows whose id is divisible by 50 are anchors; the label of those divisible by 7 moves on by one."""
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(hard_negatives.usable_vectors(documents(spark, folder, "embeddings"), label), F.col("id") % 50 == 0)
+
+
+# The rules of the contract.
+URL_RULES = (
+    url_models.Rule("org", "/", "allow"),
+    url_models.Rule("example.org", "/es/", "block"),
+    url_models.Rule("example.org", "/en/1", "block"),
+    url_models.Rule("com", "/fr/", "allow"),
+    url_models.Rule("com", "/de/", "block"),
+)
+
+
+@_query("op12_url_ratio")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return url_models.judge(documents(spark, folder, "pages"), URL_RULES)
+
+
+@_query(
+    "op11_son_collocations",
+    r"""
+    WITH pieces AS (
+      SELECT coalesce(lang, 'und') AS lang,
+        unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[.,;:!?\x0A-\x0D]')) AS piece
+      FROM documents),
+    words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+    totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+    sizes AS (SELECT lang, w, unnest(range(1, 6)) AS k FROM words),
+    starts AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM sizes WHERE len(w) >= k),
+    counts AS (
+      SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, any_value(k) AS k, count(*) AS f
+      FROM starts GROUP BY ALL HAVING count(*) >= 100),
+    candidates AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k >= 2),
+    lengths AS (SELECT *, unnest(range(2, k)) AS m FROM candidates WHERE k >= 3),
+    inner_starts AS (SELECT *, unnest(range(1, k - m + 2)) AS s FROM lengths),
+    hidden AS (SELECT lang, array_to_string(w[s:s + m - 1], ' ') AS phrase, max(a) AS longer FROM inner_starts GROUP BY ALL),
+    seen AS (
+      SELECT c.* FROM candidates c LEFT JOIN hidden h USING (lang, phrase)
+      WHERE h.longer IS NULL OR 100 * h.longer < 100 * c.a),
+    cuts AS (SELECT *, unnest(range(1, k)) AS cut FROM seen),
+    cut_scores AS (
+      SELECT c.lang, c.phrase, c.a, c.cut, x.f AS l, y.f AS r, t.n,
+        CAST((CAST(1000 AS HUGEINT) * c.a * t.n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+      FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[:c.cut], ' ')
+      JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.cut + 1:], ' ') JOIN totals t ON t.lang = c.lang),
+    least AS (SELECT * FROM cut_scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+    FROM least QUALIFY rank <= 2000
+    """,
+)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(documents(spark, folder))
