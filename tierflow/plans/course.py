@@ -7,12 +7,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.operators.checks import MART_RESULT_SCHEMA, RESULT_SCHEMA, run_checks
+from tierflow.operators.checks import run_checks
 from tierflow.plans.course_checks import CHECKS, checked, mart_tests
 from tierflow.plans.course_mart import MART_TABLES, Mart
 from tierflow.plans.course_tables import CLEANERS, INTERACTION, RAW_COLUMNS, RAW_FILES
 from tierflow.sources.files import read_csv_strings, rescued_rows
-from tierflow.sources.tables import write_ordered, write_slice
+from tierflow.sources.snapshots import append, publish, publish_scopes, read_snapshot
+from tierflow.sources.tables import in_key_order
 
 
 class ValidationFailed(RuntimeError):
@@ -20,7 +21,7 @@ class ValidationFailed(RuntimeError):
 
 
 class CourseStore:
-    """The layers of one build below a shared folder, as Parquet."""
+    """The layers of one build below a shared folder, as published tables: a build that is killed leaves every table whole."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -30,10 +31,10 @@ class CourseStore:
         return f"{self.root}/{layer}/{table}"
 
     def read(self, layer: str, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, table))
+        return read_snapshot(self.spark, self.path(layer, table))
 
     def write(self, layer: str, table: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(layer, table))
+        publish(df, self.path(layer, table))
         return self.read(layer, table)
 
     def ingest(self, folder: str) -> dict[str, DataFrame]:
@@ -57,20 +58,16 @@ class CourseStore:
         clean = {}
         for table, df in raw.items():
             cleaned = CLEANERS[table](df)
-            if table == "student_vle":
-                write_ordered(cleaned, self.path("clean", table), INTERACTION)
-                clean[table] = self.read("clean", table)
-            else:
-                clean[table] = self.write("clean", table, cleaned)
+            clean[table] = self.write("clean", table, in_key_order(cleaned, INTERACTION) if table == "student_vle" else cleaned)
         return clean
 
     def validate(
         self, clean: dict[str, DataFrame], raw: dict[str, DataFrame], tables: tuple[str, ...] = tuple(CHECKS)
     ) -> DataFrame:
-        """Run the checks of the named tables and replace only their rows in the results."""
+        """Run the checks of the named tables and replace their rows in the results, also by none."""
         results = run_checks([checked(table, clean, raw) for table in tables])
-        write_slice(results, self.path("validation", "staging"))
-        return self.spark.read.schema(RESULT_SCHEMA).parquet(self.path("validation", "staging"))
+        publish_scopes(results, self.path("validation", "staging"), "table_name", tables)
+        return self.read("validation", "staging")
 
     def mart(self, clean: dict[str, DataFrame]) -> dict[str, DataFrame]:
         """Dimensions first, so that the facts are gated on the written tables."""
@@ -81,9 +78,8 @@ class CourseStore:
 
     def validate_mart(self, mart: dict[str, DataFrame]) -> DataFrame:
         """Append the outcome of the mart tests to their history."""
-        mart_tests(mart["fact_assessments"], mart["fact_vle_interactions"]).write.mode("append").parquet(self.path("validation", "data_quality_results"))
-        path = self.path("validation", "data_quality_results")
-        return self.spark.read.schema(MART_RESULT_SCHEMA).parquet(path).orderBy(F.desc("test_timestamp"))
+        append(mart_tests(mart["fact_assessments"], mart["fact_vle_interactions"]), self.path("validation", "data_quality_results"))
+        return self.read("validation", "data_quality_results").orderBy(F.desc("test_timestamp"))
 
 
 def build(spark: SparkSession, source: str, root: str, allow_failures: bool = False) -> dict[str, dict[str, DataFrame]]:

@@ -24,7 +24,10 @@ def list_layers(spark: SparkSession) -> list[str]:
 
 
 def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
-    """Create the table from the query, or replace what is there."""
+    """Create the catalog table from the query, or replace what is there.
+
+    The old files go before the new ones are complete; `snapshots.publish` replaces a folder's table at one stroke.
+    """
     df.write.mode("overwrite").format("parquet").partitionBy(*partition_by).saveAsTable(name)
 
 
@@ -57,7 +60,10 @@ def comment_table(spark: SparkSession, name: str, comment: str) -> None:
 
 
 def write_slice(df: DataFrame, path: str, scope: str = "table_name") -> None:
-    """Replace only the scopes present in `df`; the rows of every other scope stay as they are."""
+    """Replace only the scopes present in `df`; the rows of every other scope stay as they are.
+
+    A scope without new rows keeps its old ones; `snapshots.publish_scopes` also empties scopes.
+    """
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -66,10 +72,15 @@ def write_slice(df: DataFrame, path: str, scope: str = "table_name") -> None:
     )
 
 
-def write_ordered(df: DataFrame, path: str, keys: Sequence[str], partitions: int | None = None) -> None:
-    """Files in key order: ranges over the tasks and a sort inside each, with no single-task sort."""
+def in_key_order(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Rows in key order for writing: ranges over the tasks and a sort inside each, with no single-task sort."""
     ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
-    ranged.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+    return ranged.sortWithinPartitions(*keys)
+
+
+def write_ordered(df: DataFrame, path: str, keys: Sequence[str], partitions: int | None = None) -> None:
+    """Files in key order."""
+    in_key_order(df, keys, partitions).write.mode("overwrite").parquet(path)
 
 
 def table_columns(spark: SparkSession, names: Sequence[str]) -> DataFrame:
