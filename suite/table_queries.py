@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,6 +50,7 @@ from tierflow.plans.course_mart import with_calendar
 from tierflow.plans.course_reports import risk_factors, withdrawal_bins
 from tierflow.session import scratch_path
 from tierflow.sources.files import read_csv_strings, read_csv_typed, rescued_rows
+from tierflow.sources.snapshots import delete_scopes, publish, publish_scopes, read_snapshot
 from tierflow.sources.tables import (
     append_rows,
     create_empty,
@@ -437,7 +440,7 @@ def weighted_average_lines(spark, folder):
 
 @query(
     "share_of_total",
-    """SELECT o_orderstatus, count(*) AS orders, round(count(*) * 100.0::DOUBLE / sum(count(*)) OVER (), 2) AS pct
+    """SELECT o_orderstatus, count(*) AS orders, (count(*) * 20000 + sum(count(*)) OVER ()) // (2 * sum(count(*)) OVER ()) / 100 AS pct
        FROM orders GROUP BY 1""",
 )
 def share_of_total_orders(spark, folder):
@@ -565,13 +568,13 @@ def delay_bins(spark, folder):
     "order_risk_factors",
     """WITH known AS (SELECT o_custkey, o_orderstatus = 'F' AS risk, o_orderpriority AS v1, c_mktsegment AS v2
                       FROM orders JOIN customer ON o_custkey = c_custkey),
-            base AS (SELECT round(count_if(risk) * 100.0::DOUBLE / count(DISTINCT o_custkey), 1) AS b FROM known),
+            base AS (SELECT (count_if(risk) * 2000 + count(DISTINCT o_custkey)) // (2 * count(DISTINCT o_custkey)) / 10 AS b FROM known),
             f AS (SELECT 'Priority' AS risk_factor, v1 AS factor_value, count(DISTINCT o_custkey) AS total_students,
                          count_if(risk)::BIGINT AS at_risk_count FROM known GROUP BY 2
                   UNION ALL SELECT 'Segment', v2, count(DISTINCT o_custkey), count_if(risk)::BIGINT FROM known GROUP BY 2),
             r AS (SELECT *, at_risk_count * 100.0::DOUBLE / total_students AS rate FROM f, base WHERE total_students >= 100)
-       SELECT risk_factor, factor_value, total_students, at_risk_count, round(rate, 1) AS risk_rate_pct,
-              b AS baseline_risk_pct, round(rate - b, 1) AS risk_delta_vs_baseline,
+       SELECT risk_factor, factor_value, total_students, at_risk_count, (at_risk_count * 2000 + total_students) // (2 * total_students) / 10 AS risk_rate_pct,
+              b AS baseline_risk_pct, round((rate - b)::DECIMAL(38, 10), 1)::DOUBLE AS risk_delta_vs_baseline,
               CASE WHEN rate - b >= 10 THEN 'HIGH RISK' WHEN rate - b >= 5 THEN 'ELEVATED RISK'
                    WHEN rate - b <= -5 THEN 'LOW RISK' ELSE 'AVERAGE RISK' END AS risk_category FROM r""",
 )
@@ -628,7 +631,7 @@ def _expected(*rows: tuple[str, str, str, float, str]) -> str:
     ]
     return (
         f"WITH c AS ({' UNION ALL '.join(parts)}) SELECT check_id, total_count, fail_count, "
-        "round(fail_count * 100.0::DOUBLE / nullif(total_count, 0), 4) AS fail_pct, CASE WHEN fail_count = 0 THEN 'PASS' "
+        "(fail_count * 2000000 + nullif(total_count, 0)) // (2 * nullif(total_count, 0)) / 10000 AS fail_pct, CASE WHEN fail_count = 0 THEN 'PASS' "
         "WHEN fail_count * 100.0::DOUBLE / total_count > thr THEN sev ELSE 'WARN' END AS status FROM c"
     )
 
@@ -736,10 +739,10 @@ def dq_unique_nullsafe(spark, folder):
     "dq_collapse",
     """SELECT 'K1' AS check_id, count(DISTINCT o_custkey) AS total_count,
               (SELECT count(*) FROM (SELECT DISTINCT o_custkey, o_orderstatus FROM orders)) - count(DISTINCT o_custkey) AS fail_count,
-              round(((SELECT count(*) FROM (SELECT DISTINCT o_custkey, o_orderstatus FROM orders)) - count(DISTINCT o_custkey))
-                    * 100.0::DOUBLE / count(DISTINCT o_custkey), 4) AS fail_pct, 'WARN' AS status FROM orders
+              (((SELECT count(*) FROM (SELECT DISTINCT o_custkey, o_orderstatus FROM orders)) - count(DISTINCT o_custkey)) * 2000000
+                + count(DISTINCT o_custkey)) // (2 * count(DISTINCT o_custkey)) / 10000 AS fail_pct, 'WARN' AS status FROM orders
        UNION ALL
-       SELECT 'K2', count(*), count_if(seen > 4)::BIGINT, round(count_if(seen > 4) * 100.0::DOUBLE / count(*), 4), 'WARN'
+       SELECT 'K2', count(*), count_if(seen > 4)::BIGINT, (count_if(seen > 4) * 2000000 + count(*)) // (2 * count(*)) / 10000, 'WARN'
        FROM orders JOIN (SELECT o_custkey AS ck, count(DISTINCT o_orderpriority) AS seen FROM orders GROUP BY 1) ON ck = o_custkey""",
 )
 def dq_collapse(spark, folder):
@@ -834,8 +837,8 @@ def _profile_sql(table: str, columns: dict[str, tuple[str, str]]) -> str:
         value = f"CAST({text} AS VARCHAR)"
         rows.append(
             f"SELECT '{table}' AS table_name, '{name}' AS column_name, '{kind}' AS data_type, count(*) AS total_rows, "
-            f"count(*) - count({name}) AS null_count, round((count(*) - count({name})) * 100.0::DOUBLE / count(*), 2) AS null_percentage, "
-            f"count(DISTINCT {name}) AS distinct_count, round(count(DISTINCT {name}) * 100.0::DOUBLE / count(*), 2) AS distinct_percentage, "
+            f"count(*) - count({name}) AS null_count, ((count(*) - count({name})) * 20000 + count(*)) // (2 * count(*)) / 100 AS null_percentage, "
+            f"count(DISTINCT {name}) AS distinct_count, (count(DISTINCT {name}) * 20000 + count(*)) // (2 * count(*)) / 100 AS distinct_percentage, "
             f"CAST(min({name}) AS VARCHAR) AS min_value, CAST(max({name}) AS VARCHAR) AS max_value, "
             f"(SELECT {value} FROM {table} WHERE {name} IS NOT NULL GROUP BY {name} ORDER BY count(*) DESC, {name} LIMIT 1) AS most_common_value "
             f"FROM {table}"
@@ -960,6 +963,55 @@ def scoped_replace(spark, folder):
     return back.groupBy("table_name").agg(F.count(F.lit(1)).alias("rows"), F.sum("version").alias("versions"))
 
 
+@query(
+    "atomic_replace",
+    """SELECT 'after a write that failed' AS seen, o_orderstatus AS part, count(*) AS rows FROM orders GROUP BY 2
+       UNION ALL SELECT 'by a reader from before the replace', o_orderstatus, count(*) FROM orders GROUP BY 2
+       UNION ALL SELECT 'after the replace', o_orderstatus, count(*) FROM orders WHERE o_orderstatus <> 'F' GROUP BY 2""",
+)
+def atomic_replace(spark, folder):
+    """A write that fails half way leaves the published rows; a replace shows at once, but not to earlier readers."""
+    path = scratch_path(spark, "published")
+    orders = read(spark, folder, "orders").select("o_orderkey", F.col("o_orderstatus").alias("part"))
+    publish(orders, path)
+    stopped = F.when(F.col("o_orderkey") % 1000 == 7, F.raise_error(F.lit("stopped"))).otherwise(F.col("o_orderkey"))
+    try:
+        publish(orders.withColumn("o_orderkey", stopped.cast("long")), path)
+    except Exception as error:  # noqa: BLE001 - whichever class the session wraps it in
+        if "stopped" not in str(error):
+            raise
+    before = read_snapshot(spark, path)
+    publish(orders.filter("part <> 'F'"), path)
+    seen = {
+        "after a write that failed": read_snapshot(spark, path, 1),
+        "by a reader from before the replace": before,
+        "after the replace": read_snapshot(spark, path),
+    }
+    return reduce(
+        DataFrame.unionByName,
+        [df.groupBy(F.lit(name).alias("seen"), "part").agg(F.count(F.lit(1)).alias("rows")) for name, df in seen.items()],
+    )
+
+
+@query(
+    "scoped_delete",
+    """SELECT o_orderpriority AS table_name, count(*) AS rows,
+              CAST(sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 2 ELSE 1 END) AS BIGINT) AS versions
+       FROM orders WHERE o_orderpriority NOT IN ('2-HIGH', '5-LOW') AND (o_orderpriority <> '1-URGENT' OR o_orderkey % 2 = 0)
+       GROUP BY 1""",
+)
+def scoped_delete(spark, folder):
+    """One scope gets other rows, one is named and gets none, one is deleted; the others stay."""
+    path = scratch_path(spark, "scopes")
+    rows = read(spark, folder, "orders").select("o_orderkey", F.col("o_orderpriority").alias("table_name"))
+    publish_scopes(rows.withColumn("version", F.lit(1)), path, "table_name")
+    second = rows.filter("table_name = '1-URGENT' AND o_orderkey % 2 = 0").withColumn("version", F.lit(2))
+    publish_scopes(second, path, "table_name", ["1-URGENT", "2-HIGH"])
+    delete_scopes(spark, path, ["5-LOW"])
+    back = read_snapshot(spark, path)
+    return back.groupBy("table_name").agg(F.count(F.lit(1)).alias("rows"), F.sum("version").alias("versions"))
+
+
 @query(
     "ordered_write",
     """SELECT count(*) AS rows, 0 AS overlapping_files FROM lineitem""",

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierflow.functions.cleaning import percent
 from tierflow.operators.joins import keep_keys, orphan_counts, orphan_rows
 
 # The shape of the results table.
@@ -231,7 +232,7 @@ def run_checks(tables: Sequence[CheckedTable]) -> DataFrame:
         .agg(F.sum("total").alias("total_count"), F.abs(F.sum("fail")).alias("fail_count"))
     )
     total, fail = F.col("total_count"), F.col("fail_count")
-    share = F.round(fail.cast("double") * 100.0 / F.nullif(total.cast("double"), F.lit(0.0)), 4)
+    share = percent(fail, total, 4)
     described = tallied.join(F.broadcast(_catalogue(spark, tables)), ["table_name", "check_id"])
     return described.select(
         F.current_timestamp().alias("executed_at"),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.functions.cleaning import percent, share_when
+from tierflow.functions.cleaning import half_up, percent, share_when
 from tierflow.operators.summarise import over_groups, share_of_total, top_k
 from tierflow.sources.tables import constant_rows
 
@@ -101,7 +101,7 @@ def critical(results: DataFrame) -> DataFrame:
 
 def headroom(results: DataFrame) -> DataFrame:
     """Everything that flagged, with the distance between what was allowed and what happened."""
-    room = F.round(F.col("threshold") - F.col("fail_pct"), 4).alias("headroom_pct")
+    room = half_up(F.col("threshold") - F.col("fail_pct"), 4).alias("headroom_pct")
     return (
         results.filter(F.col("fail_count") > 0)
         .select(
