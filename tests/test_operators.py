@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tierflow.operators import grain, joins, rank, summarise
+from tierflow.operators import distinct, grain, joins, rank, summarise
 from tierflow.operators.profile import profile_columns, profile_columns_approx
 from tierflow.operators.scoring import Rule, with_score
 
@@ -43,7 +43,9 @@ def test_figures_of_a_hot_and_a_missing_key_meet_in_several_tasks(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         placed = grain.with_distinct_per_entity(df, "id", "v", "seen").withColumn("task", F.spark_partition_id())
-        spread = {r["id"]: r["tasks"] for r in placed.groupBy("id").agg(F.count_distinct("task").alias("tasks")).collect()}
+        # The figure is read, or the join would not be in the plan at all.
+        tasks = placed.groupBy("id").agg(F.count_distinct("task").alias("tasks"), F.max("seen").alias("seen"))
+        spread = {r["id"]: r["tasks"] for r in tasks.collect()}
         assert spread[1] > 2 and spread[None] > 2
         assert placed.count() == len(data) and placed.filter("id = 1").select("seen").distinct().collect()[0][0] == 5
     finally:
@@ -58,6 +60,16 @@ def test_per_key_join_has_one_plan(spark, tmp_path):
     assert plan(grain.with_distinct_per_entity(table, "k", "v", "seen")).count("FileScan") == 2
 
 
+def test_a_reader_without_the_figure_does_not_join(spark, tmp_path, rows):
+    data = [(k % 7, str(k % 3), k) for k in range(100)] + [(None, "x", 1), (3, None, 2)]
+    spark.createDataFrame(data, "k int, v string, w int").write.parquet(str(tmp_path / "t"))
+    table = grain.with_distinct_per_entity(spark.read.parquet(str(tmp_path / "t")), "k", "v", "seen", spread=["w"])
+    unread = plan(table.groupBy("w").count())
+    assert "Join" not in unread and "_salt" not in unread and unread.count("FileScan") == 1
+    assert "v#" not in plan(table.select("k", "seen")).split("FileScan")[1].split("Batched")[0]
+    assert rows(table.where("w = 2"), "k", "seen") == [(2, 3), (3, 3)]
+
+
 def test_lookups_come_to_their_key(spark, rows):
     lookup = spark.createDataFrame([(1, None, "z"), (1, 5, "a"), (1, 5, "b"), (2, None, None), (None, 3, "c")], "k int, d int, t string")
     assert rows(joins.one_per_key(lookup, ["k"])) == [(1, 5, "b"), (2, None, None), (None, 3, "c")]
@@ -159,6 +171,60 @@ def test_tiles_match_ntile(spark, size):
     assert got == ntile(size, 4)
 
 
+def in_order(value):
+    return (value is None, value)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(
+        st.tuples(st.sampled_from([None, "a", "b"]), st.sampled_from([None, -2.5, 0.0, 0.0, 1.0, 1e9, float("inf")]), st.sampled_from([None, 1, 2, 700])),
+        min_size=1,
+        max_size=60,
+    ),
+    st.integers(1, 5),
+)
+def test_tiles_with_missing_and_repeated_keys_match_ntile(spark, data, tiles):
+    """Every key gets the tiles that NTILE deals to its rows, whichever of its rows gets which."""
+    df = spark.createDataFrame([(g, v, k) for g, v, k in data], "g string, v double, k int").repartition(3)
+    got = sorted([tuple(r) for r in rank.with_tiles(df, ["g"], ["v", "k"], tiles, "t").collect()], key=lambda r: [in_order(x) for x in r])
+    want = []
+    for group in {g for g, _, _ in data}:
+        members = sorted([row for row in data if row[0] == group], key=lambda r: [in_order(x) for x in r])
+        want += [(*row, tile) for row, tile in zip(members, ntile(len(members), tiles), strict=True)]
+    assert got == sorted(want, key=lambda r: [in_order(x) for x in r])
+
+
+def test_tiles_of_texts_days_flags_and_no_groups(spark, rows):
+    data = [("b", "2020-01-02", True, 1), ("a", "1900-05-01", None, 2), ("é", None, False, 3), (None, "2020-01-01", True, 4), ("", "2020-01-01", True, 5)]
+    df = spark.createDataFrame(data, "t string, d string, f boolean, i int").withColumn("d", F.col("d").cast("date"))
+    assert rows(rank.with_tiles(df, [], ["t", "i"], 3, "x"), "i", "x") == [(1, 2), (2, 1), (3, 2), (4, 3), (5, 1)]
+    assert rows(rank.with_tiles(df, [], ["d", "i"], 5, "x"), "i", "x") == [(1, 4), (2, 1), (3, 5), (4, 2), (5, 3)]
+    assert rows(rank.with_tiles(df, [], ["f", "i"], 5, "x"), "i", "x") == [(1, 2), (2, 5), (3, 1), (4, 3), (5, 4)]
+    assert rank.with_tiles(df.limit(0), ["f"], ["i"], 4, "x").collect() == []
+
+
+def test_tiles_run_nothing_before_they_are_read(spark):
+    tracker, group = spark.sparkContext.statusTracker(), "tiles"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        tiled = rank.with_tiles(spark.range(100).withColumn("g", F.col("id") % 3), ["g"], ["id"], 4, "t")
+        assert not tracker.getJobIdsForGroup(group)
+        assert tiled.count() == 100 and tracker.getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_bitmap_counts_equal_plain_ones(spark, rows):
+    data = [(k % 3, (k * 37) % 90 - 20, 1) for k in range(400)] + [(0, None, 1), (7, None, 1), (None, 2**40, 1), (None, -(2**40), 1)]
+    df = spark.createDataFrame(data, "g int, v long, n int").repartition(4)
+    plain = df.groupBy("g").agg(F.count_distinct("v").alias("d"), F.sum("n").alias("n"))
+    assert rows(distinct.distinct_counts(df, ["g"], "v", "d", ["n"])) == rows(plain)
+    inside = df.groupBy("g").agg(distinct.distinct_between(F.col("v"), -20, 50).alias("d"))
+    assert rows(inside) == rows(df.groupBy("g").agg(F.count_distinct(F.when(F.col("v").between(-20, 50), F.col("v"))).alias("d")))
+    assert "Expand" not in plan(distinct.distinct_counts(df, ["g"], "v", "d", ["n"]))
+
+
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from([None, "a", "b"]), st.integers(0, 3)), min_size=1, max_size=40))
 def test_positions_match_a_sort(spark, pairs):

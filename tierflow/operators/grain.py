@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.operators.joins import join_per_key
+from tierflow.operators.joins import join_figures
 
 
 def collapse_sum(df: DataFrame, keys: Sequence[str], measure: str, count_name: str = "original_record_count") -> DataFrame:
@@ -33,10 +33,13 @@ def earliest_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], colum
     return df.groupBy(*keys).agg(oldest.alias("_row")).select(*keys, "_row.*")
 
 
-def with_distinct_per_entity(df: DataFrame, entity: str, column: str, name: str) -> DataFrame:
-    """Add how many different values of `column` the row's entity shows; without an entity the count is missing."""
+def with_distinct_per_entity(df: DataFrame, entity: str, column: str, name: str, spread: Sequence[str] = ()) -> DataFrame:
+    """Add how many different values of `column` the row's entity shows; without an entity the count is missing.
+
+    `spread` names columns that differ between the rows of an entity; they deal a hot one over several tasks.
+    """
     known = df.filter(F.col(entity).isNotNull())
-    return join_per_key(df, known.groupBy(entity).agg(F.count_distinct(column).alias(name)), entity)
+    return join_figures(df, known.groupBy(entity).agg(F.count_distinct(column).alias(name)), entity, spread)
 
 
 def collapse_proof(source: DataFrame, collapsed: DataFrame, entity: str, changed: Column | str) -> DataFrame:

@@ -35,6 +35,20 @@ def join_per_key(df: DataFrame, per_key: DataFrame, key: str) -> DataFrame:
     return df.withColumn("_salt", _salt(df)).join(figures, [key, "_salt"], "left").select(*df.columns, *added)
 
 
+def join_figures(df: DataFrame, per_key: DataFrame, key: str, spread: Sequence[str] = ()) -> DataFrame:
+    """As `join_per_key`, for tables that are also read without their figures.
+
+    The figures are grouped once more after they were repeated, so the optimizer sees one row per key and salt, and drops
+    the whole join from the plan of a reader that uses no figure. The rows of a key are dealt by the columns in `spread`
+    (all of them unless named), so a reader of the figures needs no further column. Rows that agree in those columns share
+    a salt; a key with very many of them is left to adaptive execution, which splits the exchange of such a task.
+    """
+    added = [name for name in per_key.columns if name != key]
+    figures = _for_every_salt(per_key).groupBy(key, "_salt").agg(*[F.max(name).alias(name) for name in added])
+    salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int") if spread else _salt(df)
+    return df.withColumn("_salt", salt).join(figures, [key, "_salt"], "left").select(*df.columns, *added)
+
+
 def keep_keys(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     """The rows whose key, missing values included, is among `keys`; the rows of a key spread over several tasks."""
     left, right = df.withColumn("_salt", _salt(df)).alias("l"), _for_every_salt(keys.select(*on)).alias("r")

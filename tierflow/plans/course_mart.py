@@ -48,7 +48,11 @@ def with_calendar(days: DataFrame) -> DataFrame:
     return days.select("date", F.floor(day / F.lit(7.0)).cast("int").alias("relative_week"), course_phase(day).alias("course_phase"))
 
 
-def dim_date(spark: SparkSession, first: int = -30, last: int = 300) -> DataFrame:
+# First and last day of the calendar, which also bounds the facts.
+CALENDAR = (-30, 300)
+
+
+def dim_date(spark: SparkSession, first: int = CALENDAR[0], last: int = CALENDAR[1]) -> DataFrame:
     return with_calendar(day_spine(spark, first, last))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tierflow.functions import cleaning as c
 from tierflow.functions.cleaning import share_when
+from tierflow.operators.distinct import distinct_between, distinct_counts
 from tierflow.operators.joins import enrich
 from tierflow.operators.rank import with_tiles
 from tierflow.operators.scoring import Rule, with_score
@@ -20,6 +21,7 @@ from tierflow.operators.summarise import (
     top_or_other,
     weighted_average,
 )
+from tierflow.plans.course_mart import CALENDAR
 from tierflow.plans.course_tables import ENROLMENT, INTERACTION, PRESENTATION, usable
 
 def _rows() -> Column:
@@ -27,7 +29,13 @@ def _rows() -> Column:
 
 
 def _rounded_avg(column: str, digits: int) -> Column:
-    return F.round(F.avg(F.col(column).cast("double")), digits)
+    """Average of doubles; sums of doubles are inexact, so the last places go before the rounding."""
+    return c.half_up(F.avg(F.col(column).cast("double")), digits)
+
+
+def _whole_avg(column: str, digits: int) -> Column:
+    """Average of whole numbers, rounded exactly."""
+    return c.rounded_quotient(F.sum(column), F.count(column), digits)
 
 
 def _withdrawn() -> Column:
@@ -38,14 +46,15 @@ def _withdrawn() -> Column:
 
 
 def engagement_per_enrolment(interactions: DataFrame) -> DataFrame:
-    """Clicks, days, activities and sites of each enrolment.
+    """Clicks, days, activities and sites of each enrolment, from one pass without repeated rows.
 
-    Sets per enrolment, merged before the shuffle, are small: a course has some hundred days and sites. Distinct counts
-    side by side would repeat every row of the fact once per count.
+    The days of the calendar are bits of a few words. Activities and sites are sets per enrolment, merged before the
+    shuffle: a course has some hundred sites, with numbers too far apart for words. Distinct counts side by side would
+    repeat every row of the fact once per count.
     """
     return interactions.groupBy(*ENROLMENT).agg(
         F.sum("sum_click").alias("total_clicks"),
-        F.size(F.collect_set("date")).cast("long").alias("active_days"),
+        distinct_between(F.col("date"), *CALENDAR).alias("active_days"),
         F.size(F.collect_set("activity_type")).cast("long").alias("distinct_activity_types"),
         F.size(F.collect_set("id_site")).cast("long").alias("unique_resources_accessed"),
     )
@@ -84,19 +93,21 @@ def engagement_vs_performance(enrolment: DataFrame, interactions: DataFrame, sub
             "late_submissions",
         ],
     )
-    tiled = with_tiles(measured, PRESENTATION, ("total_clicks", "id_student"), 4, "engagement_quartile")
+    # Rows without a student share their clicks; with the outcome as the last column such rows differ in nothing.
+    order = ("total_clicks", "id_student", "final_result")
+    tiled = with_tiles(measured, PRESENTATION, order, 4, "engagement_quartile")
     quartile, result = F.col("engagement_quartile"), F.col("final_result")
     grouped = tiled.groupingSets([[quartile, result], [quartile]], quartile, result).agg(
         F.grouping(result).alias("_quartile_row"),
         _rows().alias("student_count"),
-        _rounded_avg("total_clicks", 0).alias("avg_total_clicks"),
-        _rounded_avg("active_days", 1).alias("avg_active_days"),
-        _rounded_avg("distinct_activity_types", 1).alias("avg_activity_types"),
-        _rounded_avg("unique_resources_accessed", 0).alias("avg_resources_accessed"),
+        _whole_avg("total_clicks", 0).alias("avg_total_clicks"),
+        _whole_avg("active_days", 1).alias("avg_active_days"),
+        _whole_avg("distinct_activity_types", 1).alias("avg_activity_types"),
+        _whole_avg("unique_resources_accessed", 0).alias("avg_resources_accessed"),
         _rounded_avg("weighted_avg_score", 1).alias("avg_weighted_score"),
         _rounded_avg("simple_avg_score", 1).alias("avg_simple_score"),
-        _rounded_avg("assessments_taken", 1).alias("avg_assessments_taken"),
-        _rounded_avg("late_submissions", 2).alias("avg_late_submissions"),
+        _whole_avg("assessments_taken", 1).alias("avg_assessments_taken"),
+        _whole_avg("late_submissions", 2).alias("avg_late_submissions"),
         _rounded_avg("avg_submission_delay", 1).alias("avg_days_late"),
         share_when(F.col("is_withdrawn"), 1).alias("withdrawal_rate_pct"),
         F.corr(F.col("total_clicks").cast("double"), "weighted_avg_score").alias("_corr"),
@@ -140,12 +151,10 @@ def activity_trend(interactions: DataFrame, date: DataFrame, enrolment: DataFram
     daily = interactions.groupBy(*ENROLMENT, "date", "activity_type").agg(F.sum("sum_click").alias("sum_click"))
     grouped = top_or_other(daily, "activity_type", "sum_click", k, "activity_type_grouped")
     placed = grouped.join(date, "date").join(outcome, list(ENROLMENT))
-    trend = placed.groupBy("course_phase", "relative_week", "final_result", "activity_type_grouped").agg(
-        F.count_distinct("id_student").alias("active_students"),
-        F.sum("sum_click").alias("total_clicks"),
-    )
-    per_student = F.col("total_clicks").cast("double") / F.nullif(F.col("active_students"), F.lit(0))
-    return trend.withColumn("avg_clicks_per_active_student", F.round(per_student, 1)).orderBy(
+    cell = ("course_phase", "relative_week", "final_result", "activity_type_grouped")
+    trend = distinct_counts(placed, cell, "id_student", "active_students", ["sum_click"]).withColumnRenamed("sum_click", "total_clicks")
+    per_student = c.rounded_quotient(F.col("total_clicks"), F.col("active_students"), 1)
+    return trend.withColumn("avg_clicks_per_active_student", per_student).orderBy(
         "relative_week", "activity_type_grouped", "final_result"
     )
 
@@ -204,7 +213,8 @@ def risk_factors(
         .agg(whole.alias("total_students"), F.sum("_risk").alias("at_risk_count"))
     )
     rate = F.col("at_risk_count").cast("double") * 100.0 / F.nullif(F.col("total_students"), F.lit(0))
-    cohort_rate = F.max(F.when(F.col("risk_factor") == COHORT, F.round(rate, 1)))
+    shown = c.percent(F.col("at_risk_count"), F.col("total_students"), 1)
+    cohort_rate = F.max(F.when(F.col("risk_factor") == COHORT, shown))
     return (
         counted.withColumn("baseline_risk_pct", over_groups(counted, cohort_rate))
         .filter((F.col("risk_factor") != COHORT) & (F.col("total_students") >= minimum))
@@ -213,9 +223,9 @@ def risk_factors(
             "factor_value",
             "total_students",
             "at_risk_count",
-            F.round(rate, 1).alias("risk_rate_pct"),
+            shown.alias("risk_rate_pct"),
             "baseline_risk_pct",
-            F.round(rate - F.col("baseline_risk_pct"), 1).alias("risk_delta_vs_baseline"),
+            c.half_up(rate - F.col("baseline_risk_pct"), 1).alias("risk_delta_vs_baseline"),
             risk_category(rate, F.col("baseline_risk_pct")).alias("risk_category"),
         )
         .orderBy("risk_factor", F.desc("risk_rate_pct"), "factor_value")
@@ -261,7 +271,7 @@ def risk_backtest(scored: DataFrame) -> DataFrame:
     """Does the score separate the cohort: outcomes per band."""
     per_band = scored.groupBy("risk_band").agg(
         _rows().alias("enrolments"),
-        _rounded_avg("risk_score", 2).alias("avg_risk_score"),
+        _whole_avg("risk_score", 2).alias("avg_risk_score"),
         share_when(_withdrawn(), 2).alias("pct_withdrawn"),
         share_when(F.col("final_result") == "Distinction", 2).alias("pct_distinction"),
     )
@@ -290,7 +300,7 @@ def withdrawal_by_credit_load(student_info: DataFrame) -> DataFrame:
         .agg(
             _rows().alias("enrolments"),
             share_when(_withdrawn(), 2).alias("pct_withdrawn"),
-            _rounded_avg("studied_credits", 1).alias("avg_credits"),
+            _whole_avg("studied_credits", 1).alias("avg_credits"),
         )
         .orderBy("credit_load_band")
     )

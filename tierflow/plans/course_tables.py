@@ -129,7 +129,7 @@ def clean_student_info(raw: DataFrame) -> DataFrame:
         c.code("disability").alias("disability"),
         c.clean_null("final_result").alias("final_result"),
     )
-    counted = with_distinct_per_entity(typed, "id_student", "age_band", "age_bands_seen_for_student")
+    counted = with_distinct_per_entity(typed, "id_student", "age_band", "age_bands_seen_for_student", spread=PRESENTATION)
     derived = counted.select(
         c.row_key(*ENROLMENT).alias("enrolment_key"),
         *typed.columns,
