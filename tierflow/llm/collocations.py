@@ -1,18 +1,20 @@
 """Phrase collocations, mined per language by partitioning (SON).
 
-A phrase found at least `support` times in a language is found, in at least one of the SHARDS parts of the documents, at
-least in proportion to that part's words. So:
-
-1. Every shard is mined completely at its own lowered support, level by level: words, then pairs of locally frequent words,
-   then longer phrases whose pairs are all locally frequent. A shard is a fixed share of the documents, by their id, not
-   what one task holds: its counts come from as many tasks as its texts fill, so the local support stays a tenth of the
-   whole one at every size, and no task or driver holds a shard.
-2. The locally frequent phrases of all shards are united.
-3. Every candidate is counted in the whole corpus, as text, which gives exact numbers.
+A phrase found at least `support` times in a language is found, in at least one of the shards that the texts are dealt to,
+at least in proportion to that shard's words. So:
+
+1. Texts are cut into words once and written as coded parts: numbers of words, with the list of the part's words. Every part
+   belongs to one of SHARDS shards.
+2. Every shard is mined completely at its own lowered support, level by level: words, then pairs of locally frequent words,
+   then longer phrases whose pairs are all locally frequent. A shard is a fixed share of the parts, not what one task holds:
+   its counts come from as many tasks as its parts fill, so the local support stays a tenth of the whole one at every
+   size, and no task or driver holds a shard.
+3. The locally frequent phrases of all shards are united.
+4. Every candidate is counted in the whole corpus, as text, which gives exact numbers.
 
 Mining works on 64-bit hashes; equal hashes of different phrases can only add a candidate. Tasks learn which phrases are
 frequent from a bitmap of hashes with a bounded size (FILTER_BITS at most, 32 MB); a full bitmap lets more phrases be
-counted, never fewer. Partial counts leave a task as one row per distinct phrase.
+counted, never fewer. Partial counts leave a task as one row per part and distinct phrase.
 
 The scores are exact: floor(1000 a n / (l r)) of a cut into l and r in decimals of 38 digits.
 
@@ -29,6 +31,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,6 +54,7 @@ RANK_PARTS = 64
 BREAKS, SPACES = rb".,;:!?\n\x0b\x0c\r", rb" \t"
 _FIND = re.compile(rb"[^" + BREAKS + SPACES + rb"]+|[" + BREAKS + rb"][" + BREAKS + SPACES + rb"]*").findall
 _BREAK_BYTES = frozenset(b".,;:!?\n\x0b\x0c\r")
+_BREAK = np.zeros(1, "<i4")
 
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -76,54 +80,70 @@ class _Vocabulary(dict):
         return number
 
 
+_CODED = "lang string, shard int, words long, vocabulary binary, numbers binary"
+
+
+def _coded(shards: int):
+    """Per slice of texts and language one row: its words, and their numbers in order of the text, 0 for a break."""
+    schema = pa.schema([("lang", pa.string()), ("shard", pa.int32()), ("words", pa.int64()), ("vocabulary", pa.binary()), ("numbers", pa.binary())])
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn = TaskContext.get().partitionId()
+        for batch in batches:
+            for part in slices(batch, "text", PART_BYTES):
+                by_language: dict[str, tuple[_Vocabulary, list[np.ndarray]]] = {}
+                for text, lang in zip(texts(part, "text"), part.column("lang").to_pylist(), strict=True):
+                    vocabulary, coded = by_language.setdefault(lang, (_Vocabulary(), []))
+                    found = _FIND(text.encode("utf-8", "surrogatepass").lower())
+                    coded += [np.fromiter(map(vocabulary.__getitem__, found), "<i4", len(found)), _BREAK]
+                for lang, (vocabulary, coded) in by_language.items():
+                    numbers = np.concatenate(coded)
+                    row = [lang], [turn % shards], [int(np.count_nonzero(numbers))], [b"\n".join(vocabulary.words)], [numbers.tobytes()]
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, schema.types, strict=True)], schema=schema)
+                    turn += 1
+
+    return code
+
+
 class Part:
-    """The words of some texts: numbers, hashes, the pieces and rows they stand in."""
-
-    def __init__(self, batch: pa.RecordBatch):
-        vocabulary = _Vocabulary()
-        number = vocabulary.__getitem__
-        coded = []
-        for text in texts(batch, "text"):
-            found = _FIND(text.encode("utf-8", "surrogatepass").lower())
-            coded.append(np.fromiter(map(number, found), np.int64, len(found)))
-            coded.append(np.zeros(1, np.int64))
-        numbers = np.concatenate(coded) if coded else np.zeros(0, np.int64)
-        rows = np.repeat(np.arange(len(coded) // 2), [len(a) + len(b) for a, b in zip(coded[::2], coded[1::2], strict=True)])
-        at = np.nonzero(numbers)[0]
-        self.words = vocabulary.words
-        self.numbers, self.rows = numbers[at], rows[at]
-        self.pieces = np.cumsum(numbers == 0)[at]
-        self.batch = batch
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.words), np.uint64, len(self.words))
-        self.hashes = hashes[self.numbers]
-        self.languages = batch.column("lang_key").to_numpy().view(np.uint64)[self.rows]
+    """A coded part: the numbers and hashes of its words, and the pieces they stand in."""
+
+    def __init__(self, lang: str, vocabulary: bytes, numbers: bytes):
+        coded = np.frombuffer(numbers, "<i4")
+        at = np.nonzero(coded)[0]
+        self.words = vocabulary.split(b"\n")
+        self.numbers = coded[at].astype(np.int64)
+        self.pieces = np.cumsum(coded == 0, dtype=np.int32)[at]
+        self.language = np.uint64(xxhash.xxh3_64_intdigest(lang.encode("utf-8", "surrogatepass")))
+        self.hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.words), np.uint64, len(self.words))[self.numbers]
 
     def inside(self, k: int) -> np.ndarray:
         """Whether the k words from here stand in one piece."""
         return self.pieces[: max(len(self.pieces) - k + 1, 0)] == self.pieces[k - 1 :]
 
-    def phrases(self, k: int) -> np.ndarray:
-        """Hash of the k words from each place, by language."""
-        h = np.full(max(len(self.hashes) - k + 1, 0), k, np.uint64)
+    def phrases(self, k: int, at: np.ndarray | None = None) -> np.ndarray:
+        """Hash of the k words from each place, or from the places `at`, with the language."""
+        at = np.arange(max(len(self.hashes) - k + 1, 0)) if at is None else at
+        h = np.full(len(at), k, np.uint64)
         for j in range(k):
-            h = _mixed(h * _ODD + self.hashes[j : j + len(h)])
-        return _mixed(h ^ self.languages[: len(h)])
-
-    def of_rows(self, column: str) -> np.ndarray:
-        return self.batch.column(column).to_numpy(zero_copy_only=False)[self.rows]
+            h = _mixed(h * _ODD + self.hashes[at + j])
+        return _mixed(h ^ self.language)
 
 
 # ---- bitmaps ---------------------------------------------------------------------------------------------------------
 
 
-def _places(phrases: np.ndarray, shards: np.ndarray | int, filter_: np.ndarray) -> np.ndarray:
-    """Whether the bitmap has the phrases, each as its shard sees it."""
-    place = (phrases >> (np.uint64(2) * np.asarray(shards, np.uint64))) & np.uint64(len(filter_) * 64 - 1)
+def _has(filter_: np.ndarray, phrases: np.ndarray, shard: int) -> np.ndarray:
+    """Whether the bitmap has the phrases, as a shard sees it."""
+    place = (phrases >> np.uint64(2 * shard)) & np.uint64(len(filter_) * 64 - 1)
     return (filter_[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
 def hash_filter(phrases: DataFrame, by_shard: bool = True) -> np.ndarray:
-    """Bitmap of the hashes in `phrases` (shard, phrase); its size follows their number up to the bound."""
+    """Bitmap of the hashes in `phrases` (shard, phrase), each as its shard sees it or all alike.
+
+    Its size follows their number up to the bound.
+    """
     bits = MIN_FILTER_BITS
     wanted = 8 * phrases.count()
     while bits < min(wanted, FILTER_BITS):
@@ -139,58 +159,39 @@ def hash_filter(phrases: DataFrame, by_shard: bool = True) -> np.ndarray:
     return bitmap
 
 
-# ---- 1. mining the shards --------------------------------------------------------------------------------------------
+# ---- 2. mining the shards --------------------------------------------------------------------------------------------
 
 
-def _each_part(batches: Iterator[pa.RecordBatch], use: Callable[[Part], pa.RecordBatch | None]) -> Iterator[pa.RecordBatch]:
+def _each_part(batches: Iterator[pa.RecordBatch], use: Callable[[Part, dict], pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for piece in slices(batch, "text", PART_BYTES):
-            part = Part(piece)
+        for k in range(batch.num_rows):
+            row = {name: batch.column(name)[k].as_py() for name in batch.schema.names}
+            part = Part(row["lang"], row["vocabulary"], row["numbers"])
             if len(part.numbers):
-                yield use(part)
-
-
-def _summed(shards: np.ndarray, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (shard, phrase): a place of each, the phrases, how often."""
-    order = np.lexsort((shards, phrases))
-    shards, phrases = shards[order], phrases[order]
-    new = np.ones(len(phrases), bool)
-    new[1:] = (phrases[1:] != phrases[:-1]) | (shards[1:] != shards[:-1])
-    first = np.nonzero(new)[0]
-    return order[first], phrases[first], np.diff([*first, len(phrases)])
-
-
-def _local_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def use(part: Part) -> pa.RecordBatch:
-        shards = part.of_rows("shard")
-        at, phrases, n = _summed(shards, part.phrases(1))
-        languages = part.batch.column("lang").take(pa.array(part.rows[at]))
-        columns = [languages, pa.array(shards[at]), pa.array(phrases.view(np.int64)), pa.array(n.astype(np.int64))]
-        return pa.RecordBatch.from_arrays(columns, names=["lang", "shard", "phrase", "n"])
-
-    return _each_part(batches, use)
+                yield use(part, row)
 
 
 def _local_phrases(shared, first: int, last: int):
-    """Counts of the phrases of first to last words all of whose parts the bitmap of shorter ones has."""
+    """Counts of the phrases of first to last words all of whose parts the bitmap of shorter ones has; of words, of all."""
     names = ["shard", "phrase", "need", "n"]
 
-    def use(part: Part) -> pa.RecordBatch:
-        bitmap, shards, needs = shared.value, part.of_rows("shard"), part.of_rows("need")
-        known = _places(part.phrases(first - 1), shards[: max(len(shards) - first + 2, 0)], bitmap) & part.inside(first - 1)
-        found = [], [], []
+    def use(part: Part, row: dict) -> pa.RecordBatch:
+        known = None
+        if shared is not None:
+            known = part.inside(first - 1) & _has(shared.value, part.phrases(first - 1), row["shard"])
+        found, counted = [], []
         for k in range(first, last + 1):
-            size = max(len(shards) - k + 1, 0)
-            at = part.inside(k).copy()
-            for j in range(k - first + 2):
-                at &= known[j : j + size]
-            at = np.nonzero(at)[0]
-            place, phrases, n = _summed(shards[at], part.phrases(k)[at])
-            for column, values in zip(found, (at[place], phrases, n), strict=True):
-                column.append(values)
-        at, phrases, n = (np.concatenate(x) for x in found)
-        values = shards[at], phrases.view(np.int64), needs[at], n.astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in values], names=names)
+            at = part.inside(k)
+            if known is not None:
+                at = at.copy()
+                for j in range(k - first + 2):
+                    at &= known[j : j + len(at)]
+            phrases, n = np.unique(part.phrases(k, np.nonzero(at)[0]), return_counts=True)
+            found.append(phrases)
+            counted.append(n)
+        phrases, n = np.concatenate(found).view(np.int64), np.concatenate(counted).astype(np.int64)
+        columns = [np.full(len(n), row["shard"], np.int32), phrases, np.full(len(n), row["need"], np.int64), n]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=names)
 
     return lambda batches: _each_part(batches, use)
 
@@ -204,74 +205,67 @@ def _frequent(counted: DataFrame) -> DataFrame:
     return summed.where("n >= need").select("shard", "phrase")
 
 
-# ---- 3. counting the candidates --------------------------------------------------------------------------------------
+# ---- 4. counting the candidates --------------------------------------------------------------------------------------
 
 
 def _candidate_counts(shared, longest: int):
     """Counts of all phrases that the bitmap of candidates has, as texts."""
 
-    def use(part: Part) -> pa.RecordBatch:
-        bitmap = shared.value
+    def use(part: Part, row: dict) -> pa.RecordBatch:
         # Numbers stand for whole phrases exactly: pairs of the number of the words before and of the last word.
-        count = len(part.words)
-        before = part.of_rows("lang_number") * count + part.numbers
-        known = np.ones(len(before), bool)
-        out = []
+        count, before, known = len(part.words), part.numbers.copy(), np.ones(len(part.numbers), bool)
+        places, times, lengths = [], [], []
         for k in range(1, longest + 1):
             size = max(len(part.numbers) - k + 1, 0)
             if k > 1:
                 known = known[:size] & known[1 : size + 1]
-            known = known & part.inside(k) & _places(part.phrases(k), 0, bitmap)
-            at = np.nonzero(known)[0]
-            if k > 1:
-                before = before[:size].copy()
-                before[at] = before[at] * count + part.numbers[at + k - 1]
-            distinct, place, number, n = np.unique(before[at], return_index=True, return_inverse=True, return_counts=True)
+            at = np.nonzero(known & part.inside(k))[0]
+            at = at[_has(shared.value, part.phrases(k, at), 0)]
+            known = np.zeros(size, bool)
+            known[at] = True
+            keys = before[at] * count + part.numbers[at + k - 1] if k > 1 else before[at]
+            _, place, number, n = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+            before = np.zeros(size, np.int64)
             before[at] = number
-            out.append((at[place], n, np.full(len(n), k)))
-        at, n, k = (np.concatenate(x) for x in zip(*out, strict=True))
+            places.append(at[place])
+            times.append(n)
+            lengths.append(np.full(len(n), k))
+        at, n, k = np.concatenate(places), np.concatenate(times), np.concatenate(lengths)
         words, numbers = part.words, part.numbers.tolist()
         phrases = [b" ".join([words[x] for x in numbers[i : i + j]]) for i, j in zip(at.tolist(), k.tolist(), strict=True)]
-        languages = part.batch.column("lang").take(pa.array(part.rows[at]))
-        columns = [languages, pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(k.astype(np.int32)), pa.array(n.astype(np.int64))]
+        columns = [
+            pa.repeat(pa.scalar(row["lang"], pa.string()), len(n)),
+            pa.array(phrases, pa.binary()).cast(pa.string()),
+            pa.array(k.astype(np.int32)),
+            pa.array(n.astype(np.int64)),
+        ]
         return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "words", "n"])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            numbers = batch.column("lang").dictionary_encode().indices.cast(pa.int64())
-            yield from _each_part([batch.append_column("lang_number", numbers)], use)
-
-    return count
+    return lambda batches: _each_part(batches, use)
 
 
 def phrase_counts(documents: DataFrame, support: int = SUPPORT, longest: int = WORDS, shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, words, f) of every phrase of up to `longest` words found `support` times, and (lang, n)."""
     spark = documents.sparkSession
-    language = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
-    shard = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(shards)).cast("int")
-    docs = documents.select(
-        whole_text().alias("text"), language.alias("lang"), shard.alias("shard"), F.xxhash64(language).alias("lang_key")
-    )
-    found = docs.mapInArrow(_local_words, "lang string, shard int, phrase long, n long")
-    words = frozen(found.groupBy("lang", "shard", "phrase").agg(F.sum("n").alias("n")), "words")
-    per_shard = words.groupBy("lang", "shard").agg(F.sum("n").alias("n"))
-    per_language = frozen(per_shard.groupBy("lang").agg(F.sum("n").alias("n")), "languages")
+    docs = documents.select(whole_text().alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
+    # A row is one part: few of them go to a Python worker at once.
+    parts = frozen(docs.mapInArrow(_coded(shards), _CODED), "coded-texts")
+    per_shard = parts.groupBy("lang", "shard").agg(F.sum("words").alias("n"))
+    per_language = frozen(per_shard.groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0"), "languages")
     # A row per language and shard; Spark broadcasts the written table when its size allows it.
     need = F.expr(f"CAST(ceil({support} * CAST(s.n AS DECIMAL(38, 0)) / l.n) AS LONG)")
     needs = frozen(per_shard.alias("s").join(per_language.alias("l"), "lang").select("lang", "shard", need.alias("need")), "supports")
-    needed = docs.join(needs, ["lang", "shard"])
-
-    levels = [frozen(words.join(needs, ["lang", "shard"]).where("n >= need").select("shard", "phrase"), "frequent-words")]
-    for first, last in [(2, 2), (3, longest)]:
-        if first <= last:
-            shared = spark.sparkContext.broadcast(hash_filter(levels[-1]))
-            levels.append(frozen(_frequent(needed.mapInArrow(_local_phrases(shared, first, last), _COUNTED)), f"frequent-{first}"))
-    candidates = levels[0]
-    for level in levels[1:]:
-        candidates = candidates.unionAll(level)
+    needed = parts.join(needs, ["lang", "shard"])
+
+    candidates, levels = None, [(1, 1), (2, 2), (3, longest)]
+    for first, last in [level for level in levels if level[0] <= min(level[1], longest)]:
+        shared = None if candidates is None else spark.sparkContext.broadcast(hash_filter(frequent))
+        counted = needed.mapInArrow(_local_phrases(shared, first, last), _COUNTED)
+        frequent = frozen(_frequent(counted), f"frequent-{first}")
+        candidates = frequent if candidates is None else candidates.unionAll(frequent)
     shared = spark.sparkContext.broadcast(hash_filter(candidates, by_shard=False))
-    texts_ = docs.select("text", "lang", "lang_key").mapInArrow(_candidate_counts(shared, longest), "lang string, phrase string, words int, n long")
-    counts = texts_.groupBy("lang", "phrase").agg(F.max("words").alias("words"), F.sum("n").alias("f")).where(F.col("f") >= support)
+    found = parts.mapInArrow(_candidate_counts(shared, longest), "lang string, phrase string, words int, n long")
+    counts = found.groupBy("lang", "phrase").agg(F.max("words").alias("words"), F.sum("n").alias("f")).where(F.col("f") >= support)
     return frozen(counts, "phrases"), per_language
 
 
