@@ -36,6 +36,7 @@ from tierflow.operators.grain import (
 )
 from tierflow.operators.joins import enrich, gate, orphan_rows
 from tierflow.operators.profile import profile_columns, profile_tables
+from tierflow.operators.profile_state import stored_profile, update_profile
 from tierflow.operators.rank import with_positions, with_tiles
 from tierflow.operators.scoring import Rule, with_score
 from tierflow.operators.summarise import (
@@ -868,6 +869,17 @@ def profile_lines(spark, folder):
     return profile_columns(read(spark, folder, "lineitem"), "lineitem")
 
 
+@query("profile_incremental", _profile_sql("customer", _same(CUSTOMER)))
+def profile_incremental(spark, folder):
+    """Files arrive twice; the second update reads the second ones only, and the merged counts give the profile."""
+    customers, place, state = read(spark, folder, "customer"), scratch_path(spark, "arrivals"), scratch_path(spark, "profile")
+    customers.filter("c_custkey % 3 = 0").write.parquet(place)
+    update_profile(spark, place, state)
+    customers.filter("c_custkey % 3 <> 0").write.mode("append").parquet(place)
+    update_profile(spark, place, state)
+    return stored_profile(spark, state, "customer")
+
+
 @query("profile_text", _profile_sql("conversations", _same(CONVERSATION)))
 def profile_text(spark, folder):
     return profile_columns(read(spark, folder, "conversations"), "conversations")

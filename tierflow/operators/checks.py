@@ -131,7 +131,7 @@ class CheckedTable:
     owner: str = "data quality"
 
 
-def _parts(df: DataFrame, table: str, counts: Sequence[tuple[str, str, str]]) -> DataFrame:
+def counted_parts(df: DataFrame, table: str, counts: Sequence[tuple[str, str, str]]) -> DataFrame:
     """One pass over `df`: an aggregate row, turned into one (table, check, total, fail) row per check.
 
     The counts are SQL texts, which keeps a plan of many checks cheap to build.
@@ -149,21 +149,35 @@ def _listed(columns: Iterable[str]) -> str:
     return ", ".join(f"`{column}`" for column in columns)
 
 
+def row_counts(rule: Rule) -> dict[str, tuple[str, str]]:
+    """SQL of (total, fail) per side for the rules whose numbers add up over parts of a table; no side for the others.
+
+    A raw-to-clean difference is the sum of a positive and a negative part.
+    """
+    if isinstance(rule, FailWhen):
+        return {rule.on: ("count(1)", f"count_if({rule.condition})")}
+    if isinstance(rule, SameCount):
+        return {"raw": ("count(1)", "count(1)"), "clean": ("0", "-count(1)")}
+    if isinstance(rule, SameSum):
+        return {"raw": ("count(1)", f"coalesce(sum({rule.raw}), 0)"), "clean": ("0", f"-coalesce(sum({rule.clean}), 0)")}
+    return {}
+
+
 def _tally(table: CheckedTable) -> list[DataFrame]:
     """The parts a table's checks add up from.
 
     Row conditions on the clean table share one pass, row conditions on the raw table another, and the distinct
     counts of each side a third, so that Spark's row expansion for distinct counts stays off the wide pass.
-    A raw-to-clean difference is the sum of a positive and a negative part, each taken in a pass that runs anyway.
+    The two parts of a raw-to-clean difference are each taken in a pass that runs anyway.
     """
     simple: dict[str, list[tuple[str, str, str]]] = {"clean": [], "raw": []}
     distinct: dict[str, list[tuple[str, str, str]]] = {"clean": [], "raw": []}
     parts: list[DataFrame] = []
     for check in table.checks:
         rule, cid = check.rule, check.check_id
-        if isinstance(rule, FailWhen):
-            simple[rule.on].append((cid, "count(1)", f"count_if({rule.condition})"))
-        elif isinstance(rule, Repeats):
+        for side, counts in row_counts(rule).items():
+            simple[side].append((cid, *counts))
+        if isinstance(rule, Repeats):
             keys = f"count(DISTINCT struct({_listed(rule.columns)}))"
             distinct[rule.on].append((cid, "count(1)", f"count(1) - {keys}"))
         elif isinstance(rule, Collapses):
@@ -175,16 +189,10 @@ def _tally(table: CheckedTable) -> list[DataFrame]:
                 F.count(F.lit(1)).alias("n"), F.count_distinct(rule.column).alias("seen")
             )
             over = f"coalesce(sum(CASE WHEN seen > {rule.limit} THEN n END), 0)"
-            parts.append(_parts(per_entity, table.name, [(cid, "coalesce(sum(n), 0)", over)]))
+            parts.append(counted_parts(per_entity, table.name, [(cid, "coalesce(sum(n), 0)", over)]))
         elif isinstance(rule, Orphans):
             found = orphan_counts(table.clean, table.parents[rule.parent], rule.columns)
             parts.append(found.selectExpr(f"'{table.name}' AS table_name", f"'{cid}' AS check_id", "total", "fail"))
-        elif isinstance(rule, SameCount):
-            simple["raw"].append((cid, "count(1)", "count(1)"))
-            simple["clean"].append((cid, "0", "-count(1)"))
-        elif isinstance(rule, SameSum):
-            simple["raw"].append((cid, "count(1)", f"coalesce(sum({rule.raw}), 0)"))
-            simple["clean"].append((cid, "0", f"-coalesce(sum({rule.clean}), 0)"))
         elif isinstance(rule, CountBetween):
             outside = f"CASE WHEN count(1) BETWEEN {rule.low} AND {rule.high} THEN 0 ELSE 1 END"
             simple["clean"].append((cid, "count(1)", outside))
@@ -193,7 +201,7 @@ def _tally(table: CheckedTable) -> list[DataFrame]:
             if counts and df is None:
                 raise ValueError(f"{table.name}: the checks read the {side} table, which is missing")
             if counts:
-                parts.append(_parts(df, table.name, counts))
+                parts.append(counted_parts(df, table.name, counts))
     return parts
 
 
@@ -225,11 +233,13 @@ def status_of(total: Column, fail: Column, threshold: Column, severity: Column)
 def run_checks(tables: Sequence[CheckedTable]) -> DataFrame:
     """All checks of all tables, one result row each."""
     parts = [part for table in tables for part in _tally(table)]
-    spark = tables[0].clean.sparkSession
-    tallied = (
-        reduce(DataFrame.unionByName, parts)
-        .groupBy("table_name", "check_id")
-        .agg(F.sum("total").alias("total_count"), F.abs(F.sum("fail")).alias("fail_count"))
+    return results_of(tables[0].clean.sparkSession, reduce(DataFrame.unionByName, parts), tables)
+
+
+def results_of(spark: SparkSession, parts: DataFrame, tables: Sequence[CheckedTable]) -> DataFrame:
+    """The results table from (table, check, total, fail) parts, which are added up."""
+    tallied = parts.groupBy("table_name", "check_id").agg(
+        F.sum("total").alias("total_count"), F.abs(F.sum("fail")).alias("fail_count")
     )
     total, fail = F.col("total_count"), F.col("fail_count")
     share = percent(fail, total, 4)

@@ -36,14 +36,12 @@ def _typed_order(types: Iterable[T.DataType]) -> list[Column]:
     ]
 
 
-def profile_columns(df: DataFrame, table: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row per column: nulls, distinct values, smallest, largest and most common value.
+def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """(column_name, data_type, value, n): how often each value of each column occurs, as text.
 
-    Every row is unpivoted to (column, value) and counted per pair; all figures follow from those counts. The
-    count is taken before the shuffle, so a value that fills most of a column costs one row per task. Min and max
-    follow the order of the column's own type; the most common value is the smallest of those that tie.
+    Every row is unpivoted to (column, value) and counted per pair. The count is taken before the shuffle, so a value that
+    fills most of a column costs one row per task.
     """
-    names = list(columns or df.columns)
     types = {field.name: field.dataType for field in df.schema}
     cells = [
         F.struct(
@@ -51,15 +49,22 @@ def profile_columns(df: DataFrame, table: str, columns: Sequence[str] | None = N
             F.lit(types[name].simpleString()).alias("data_type"),
             F.col(name).cast("string").alias("value"),
         )
-        for name in names
+        for name in (columns or df.columns)
     ]
-    counts = (
+    return (
         df.select(F.inline(F.array(*cells)))
         .groupBy("column_name", "data_type", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+
+
+def profile_of_counts(counts: DataFrame, types: Iterable[T.DataType], table: str) -> DataFrame:
+    """One row per column from the counts of its values: nulls, distinct values, smallest, largest, most common.
+
+    Min and max follow the order of the column's own type; the most common value is the smallest of those that tie.
+    """
     present = F.col("value").isNotNull()
-    order = F.struct(*_typed_order(types[name] for name in names), "value")
+    order = F.struct(*_typed_order(types), "value")
     figures = counts.groupBy("column_name", "data_type").agg(
         F.sum("n").alias("total_rows"),
         F.coalesce(F.sum(F.when(~present, F.col("n"))), F.lit(0)).alias("null_count"),
@@ -84,6 +89,13 @@ def profile_columns(df: DataFrame, table: str, columns: Sequence[str] | None = N
     )
 
 
+def profile_columns(df: DataFrame, table: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row per column: nulls, distinct values, smallest, largest and most common value, from one pass."""
+    names = list(columns or df.columns)
+    types = {field.name: field.dataType for field in df.schema}
+    return profile_of_counts(value_counts(df, names), [types[name] for name in names], table)
+
+
 def profile_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Profiles of several tables; all columns are profiled, without naming them."""
     return reduce(DataFrame.unionByName, [profile_columns(df, name) for name, df in tables.items()])
