@@ -4,7 +4,7 @@ A phrase found at least `support` times in a language is found, in at least one
 at least in proportion to that shard's words. So:
 
 1. Texts are cut into words once and written as coded parts: numbers of words, with the list of the part's words. Every part
-   belongs to one of SHARDS shards.
+   belongs to one of SHARDS shards, the parts of one task to the same.
 2. Every shard is mined completely at its own lowered support, level by level: words, then pairs of locally frequent words,
    then longer phrases whose pairs are all locally frequent. A shard is a fixed share of the parts, not what one task holds:
    its counts come from as many tasks as its parts fill, so the local support stays a tenth of the whole one at every
@@ -46,7 +46,7 @@ HIDING = 100
 # The bitmaps have about eight bits per phrase, between these bounds.
 MIN_FILTER_BITS, FILTER_BITS = 1 << 16, 1 << 28
 # Text handled together inside a task.
-PART_BYTES = 8_000_000
+PART_BYTES = 4_000_000
 # A language's phrases are ranked in so many parts before the best of each part meet.
 RANK_PARTS = 64
 
@@ -88,7 +88,8 @@ def _coded(shards: int):
     schema = pa.schema([("lang", pa.string()), ("shard", pa.int32()), ("words", pa.int64()), ("vocabulary", pa.binary()), ("numbers", pa.binary())])
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turn = TaskContext.get().partitionId()
+        # All parts of a task are of one shard, so that Spark adds up their counts before it shuffles them.
+        shard = TaskContext.get().partitionId() % shards
         for batch in batches:
             for part in slices(batch, "text", PART_BYTES):
                 by_language: dict[str, tuple[_Vocabulary, list[np.ndarray]]] = {}
@@ -98,9 +99,8 @@ def _coded(shards: int):
                     coded += [np.fromiter(map(vocabulary.__getitem__, found), "<i4", len(found)), _BREAK]
                 for lang, (vocabulary, coded) in by_language.items():
                     numbers = np.concatenate(coded)
-                    row = [lang], [turn % shards], [int(np.count_nonzero(numbers))], [b"\n".join(vocabulary.words)], [numbers.tobytes()]
+                    row = [lang], [shard], [int(np.count_nonzero(numbers))], [b"\n".join(vocabulary.words)], [numbers.tobytes()]
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, schema.types, strict=True)], schema=schema)
-                    turn += 1
 
     return code
 
