@@ -1,4 +1,5 @@
 import re
+import time
 
 from tierflow.llm.license_rules import Rule, rules
 from tierflow.llm.licenses import scan
@@ -89,3 +90,11 @@ def test_rules_are_sound():
 def test_prose_has_no_label(spark):
     assert labels(spark, *(prose(k, 400) for k in range(10))) == [""] * 10
     assert scan(frame(spark, [])).count() == 0
+
+
+def test_many_places_in_one_text(spark):
+    text = " ".join(f"licensed under the MIT License {k}" for k in range(30_000))
+    began = time.monotonic()
+    row = scan(frame(spark, [text])).collect()[0]
+    assert (row.n_base, row.first_word, row.base_labels) == (30_000, 3, "mit")
+    assert time.monotonic() - began < 120

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tierflow.llm.common import bind, whole_text
 from tierflow.llm.license_rules import Rule, rules
+from tierflow.llm.running import sums_before
 
 #: Fixed phrases and their labels.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -98,12 +99,12 @@ def _detections(normal: Column, found_by: list[Rule]) -> Column:
         return bind(F.struct(matches.alias("matches"), gaps.alias("gaps")), lambda both: placed(rule, both["matches"], both["gaps"]))
 
     def placed(rule: Column, matches: Column, gaps: Column) -> Column:
-        begin = F.expr("named_struct('at', 0, 'found', cast(array() as array<struct<start:int,longer:int,priority:int,place:int,end:int,label:string,score:double>>))")
+        sizes = F.transform(matches, lambda match, i: (F.length(F.get(gaps, i)) + F.length(match)).cast("bigint"))
 
-        def step(state: Column, i: Column) -> Column:
-            start = state["at"] + F.length(F.get(gaps, i))
-            end = start + F.length(F.get(matches, i))
-            one = F.struct(
+        def one(match: Column, i: Column, before: Column) -> Column:
+            start = (F.get(before, i) + F.length(F.get(gaps, i))).cast("int")
+            end = start + F.length(match)
+            return F.struct(
                 start.alias("start"),
                 (-end).alias("longer"),
                 rule["priority"].alias("priority"),
@@ -112,10 +113,8 @@ def _detections(normal: Column, found_by: list[Rule]) -> Column:
                 rule["label"].alias("label"),
                 rule["score"].alias("score"),
             )
-            return F.struct(end.alias("at"), F.array_append(state["found"], one).alias("found"))
 
-        places = F.filter(F.sequence(F.lit(0), F.size(matches)), lambda i: i < F.size(matches))
-        return F.aggregate(places, begin, step, lambda state: state["found"])
+        return bind(sums_before(sizes), lambda before: F.transform(matches, lambda match, i: one(match, i, before)))
 
     return F.array_sort(F.flatten(F.transform(tried, intervals)))
 
