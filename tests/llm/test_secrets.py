@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 import string
+import time
 
 from pyspark.sql import functions as F
 
@@ -114,3 +115,29 @@ def test_repeated_null_and_empty(spark):
     assert sorted((r.doc_id or -1, r.n_assign) for r in rows) == [(-1, 0), (1, 1), (1, 1)]
     assert scanned(spark, []).count() == 0
     assert mask_live(frame(spark, []), F.col("lang"), F.col("source")).count() == 0
+
+
+def test_many_spans_in_one_text(spark):
+    """A few megabytes of configuration: places stay exact and the time stays in proportion."""
+    rng = random.Random(1)
+    words = ["".join(rng.choices("bcdfghjklmnpqrstvwz", k=8)) for _ in range(100_000)]
+    text = "\n".join(f"é{k % 7} token={word}" for k, word in enumerate(words))
+    began = time.monotonic()
+    row = scanned(spark, [text]).collect()[0]
+    assert row.n_assign == 100_000 and row.spans.split(",") == brute(text)
+    masked = mask_live(frame(spark, [text]), F.col("lang"), F.col("source")).first().text
+    live = [len(set(word)) >= 8 for word in words]
+    assert masked == "\n".join(f"é{k % 7} " + ("<assign>" if hit else f"token={word}") for k, (word, hit) in enumerate(zip(words, live, strict=True)))
+    assert time.monotonic() - began < 120
+
+
+def test_owners_and_repositories_of_each_span(spark):
+    once, spread, shared = "q7Zk20vXw81mNb3LsT", "Zk20vXw81mNb3LsTq9", LIVE
+    cases = [f"token={once} token={spread}", f"token={spread} secret={shared}", f"token={spread} token={shared}", f"token={shared}", None]
+    rows = [(k, t, "en", "s", 0, *["x"] * 9) for k, t in enumerate(cases)]
+    docs = spark.createDataFrame(rows, frame(spark, []).schema).withColumn("repo", F.concat(F.lit("r"), F.col("doc_id")))
+    owner = F.when(F.col("doc_id") < 2, "a").when(F.col("doc_id") == 2, "b").otherwise("c")
+    got = {r.doc_id: r for r in report(docs, F.col("repo"), owner).collect()}
+    assert [(got[k].span_owners, got[k].span_repositories) for k in range(5)] == [("1,2", "1,3"), ("2,3", "3,3"), ("2,3", "3,3"), ("3", "3"), ("", "")]
+    assert [(got[k].n_live, got[k].n_spread, got[k].n_shared) for k in range(5)] == [(1, 1, 0), (0, 1, 1), (0, 1, 1), (0, 0, 1), (0, 0, 0)]
+    assert mask_live(docs, F.col("repo"), owner).where("doc_id = 0").first().text == "<assign> <assign>"

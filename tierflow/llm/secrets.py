@@ -2,11 +2,12 @@
 
 Every text is searched for fixed kinds of credentials. A candidate's value is hashed; over the corpus each hash is counted
 by distinct owners and distinct repositories. A value that many owners carry is a copied example; a value that few owners
-carry and that looks random is taken for a live credential. Only DataFrame functions are used.
+carry and that looks random is taken for a live credential, and for a spread one where its owners hold it in many
+repositories. Only DataFrame functions are used, and their time grows with a text's spans, not with their square.
 
 Texts are scanned once; what was found (no text) is written to the shared folder, and both the counts and the verdicts
-read it. Counts shrink to distinct (hash, repository, owner) before hashes meet; only hashes over the limit are joined
-back, from a written table, so that a join on a very frequent hash can be split.
+read it. Counts shrink to distinct (hash, repository, owner) before hashes meet; they are joined back from a written table,
+one row per hash, so that adaptive execution can split the spans of a very frequent hash.
 
 The value of a private key is its base64 body, however its lines are broken; a header without a body is never live.
 
@@ -23,8 +24,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.llm.common import bind, free_name, frozen, whole_text
+from tierflow.llm.running import chunks, cut, greatest_before, sums_before
 
 MAX_OWNERS = 2
+# From more repositories than this on, a value of few owners is spread: copied between the repositories of its owner.
+MAX_REPOSITORIES = 2
 MIN_DISTINCT_CHARS = 8
 # Words of a placeholder also occur by chance in longer keys, and OpenSSH keys hold runs of one letter.
 KEY_CHARS = 64
@@ -83,33 +87,29 @@ _SPAN = "struct<start:bigint,kind_order:int,end:bigint,kind:string,value:string>
 
 
 def _found(text: Column, kind: Kind, order: int) -> Column:
-    """The kind's spans in a text: matches and the gaps between them give the places in code points."""
+    """The kind's spans in a text: matches and the gaps between them give the places in code points, in linear time."""
     matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(kind.group))
     if kind.filler:
         values = F.transform(values, lambda value: F.regexp_replace(value, kind.filler, ""))
     gaps = F.split(text, kind.pattern, -1)
 
-    def step(found: Column, state: Column, i: Column) -> Column:
-        start = state["at"] + F.length(F.get(found["gaps"], i))
-        end = start + F.length(F.get(found["matches"], i))
-        span = F.struct(
-            start.alias("start"),
-            F.lit(order).alias("kind_order"),
-            end.alias("end"),
-            F.lit(kind.name).alias("kind"),
-            F.get(found["values"], i).alias("value"),
-        )
-        return F.struct(end.alias("at"), F.array_append(state["spans"], span).alias("spans"))
+    def spans_of(found: Column) -> Column:
+        sizes = F.transform(found["matches"], lambda match, i: (F.length(F.get(found["gaps"], i)) + F.length(match)).cast("bigint"))
 
-    begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.expr(f"cast(array() as array<{_SPAN}>)").alias("spans"))
+        def span(match: Column, i: Column, before: Column) -> Column:
+            start = F.get(before, i) + F.length(F.get(found["gaps"], i))
+            return F.struct(
+                start.alias("start"),
+                F.lit(order).alias("kind_order"),
+                (start + F.length(match)).alias("end"),
+                F.lit(kind.name).alias("kind"),
+                F.get(found["values"], i).alias("value"),
+            )
 
-    def walked(found: Column) -> Column:
-        places = F.sequence(F.lit(0), F.size(found["matches"]) - 1)
-        # The state must keep one type: lengths are ints, places are longs.
-        return F.aggregate(places, begin, lambda s, i: step(found, s, i).cast(f"struct<at:bigint,spans:array<{_SPAN}>>"), lambda s: s["spans"])
+        return bind(sums_before(sizes), lambda before: F.transform(found["matches"], lambda match, i: span(match, i, before)))
 
-    spans = bind(F.struct(matches.alias("matches"), values.alias("values"), gaps.alias("gaps")), walked)
+    spans = bind(F.struct(matches.alias("matches"), values.alias("values"), gaps.alias("gaps")), spans_of).cast(f"array<{_SPAN}>")
     if kind.least:
         spans = F.filter(spans, lambda span: F.length(span["value"]) >= kind.least)
     return F.when(text.rlike(kind.gate) & text.rlike(kind.pattern), spans).otherwise(F.expr(f"cast(array() as array<{_SPAN}>)"))
@@ -153,13 +153,22 @@ def ownership(scanned: DataFrame) -> DataFrame:
     return held.distinct().groupBy("hash").agg(F.count_distinct("owner").alias("n_owners"), F.count_distinct("repository").alias("n_repositories"))
 
 
-def judged(scanned: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
-    """The scanned rows that have spans, each span with its verdict: live, shared or dull."""
-    shared = frozen(ownership(scanned).where(F.col("n_owners") > max_owners), "shared-secrets").withColumnRenamed("hash", "known")
-    each = scanned.where(F.size("spans") > 0).select("row", F.explode("spans").alias("span"))
-    met = each.join(shared, F.col("span.hash") == F.col("known"), "left")
-    verdict = F.when(F.col("known").isNotNull(), "shared").when(F.col("span.random"), "live").otherwise("dull")
-    marked = met.select("row", F.struct("span.start", "span.end", "span.kind", verdict.alias("verdict")).alias("span"))
+# The verdicts under which a credential is masked: it looks real and belongs to few owners.
+LIVE = ("live", "spread")
+
+
+def judged(scanned: DataFrame, max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
+    """The scanned rows that have spans, each span with its owners, repositories and verdict.
+
+    Values of many owners are copied examples (shared). Of the others those that look random are live, or spread where many
+    repositories of their few owners hold them; the rest is dull.
+    """
+    counts = frozen(ownership(scanned), "secret-owners").withColumnRenamed("hash", "known")
+    each = scanned.where(F.size("spans") > 0).select("row", F.posexplode("spans").alias("place", "span"))
+    met = each.join(counts, F.col("span.hash") == F.col("known"))
+    wide = F.when(F.col("n_repositories") > max_repositories, "spread").otherwise("live")
+    verdict = F.when(F.col("n_owners") > max_owners, "shared").when(F.col("span.random"), wide).otherwise("dull")
+    marked = met.select("row", F.struct("span.start", "span.end", "span.kind", verdict.alias("verdict"), "place", "n_owners", "n_repositories").alias("span"))
     return marked.groupBy("row").agg(F.collect_list("span").alias("judged"))  # the spans of one text
 
 
@@ -171,21 +180,27 @@ def _count(spans: str, field: str, value: str) -> Column:
     return F.size(F.filter(spans, lambda span: span[field] == value)).cast("long").alias(f"n_{value}")
 
 
-def report(documents: DataFrame, repository: Column, owner: Column, max_owners: int = MAX_OWNERS) -> DataFrame:
-    """Per row the counts by kind, all spans, and how many are live, shared or dull."""
+def report(documents: DataFrame, repository: Column, owner: Column, max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
+    """Per row the counts by kind, all spans with their owners and repositories in the same order, and counts by verdict."""
     scanned = scan(documents, repository, owner)
     base = F.filter("spans", lambda s: s["kind"].isin([kind.name for kind in BASE]))
     counts = [_count("spans", "kind", kind.name) for kind in BASE]
     rows = scanned.select("row", "doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
-    verdicts = judged(scanned, max_owners).select(
-        "row",
-        *[_count("judged", "verdict", verdict) for verdict in ("live", "shared", "dull")],
+    verdicts = ("live", "spread", "shared", "dull")
+
+    def listed(field: str) -> Column:
+        held = F.array_sort(F.transform("judged", lambda s: F.struct(s["place"], s[field].alias("n"))))
+        return F.concat_ws(",", F.transform(held, lambda s: s["n"].cast("string"))).alias(field.replace("n_", "span_"))
+
+    found = judged(scanned, max_owners, max_repositories).select(
+        "row", *[_count("judged", "verdict", verdict) for verdict in verdicts], listed("n_owners"), listed("n_repositories")
     )
-    return rows.join(verdicts, "row", "left").drop("row").na.fill(0, ["n_live", "n_shared", "n_dull"])
+    whole = rows.join(found, "row", "left").drop("row").na.fill(0, [f"n_{verdict}" for verdict in verdicts])
+    return whole.na.fill("", ["span_owners", "span_repositories"])
 
 
 def mask_live(documents: DataFrame, repository: Column, owner: Column, max_owners: int = MAX_OWNERS) -> DataFrame:
-    """The documents, all columns, with every live credential replaced by its kind in angle brackets.
+    """The documents, all columns, with every live or spread credential replaced by its kind in angle brackets.
 
     Overlapping live spans are replaced as one, under the kind that starts first.
     """
@@ -207,19 +222,26 @@ def mask_live(documents: DataFrame, repository: Column, owner: Column, max_owner
     )
     scanned = frozen(found.where(F.size("spans") > 0), "secret-spans")
     live = judged(scanned, max_owners).select(
-        F.col("row").alias(number), F.array_sort(F.filter("judged", lambda s: s["verdict"] == "live")).alias(cuts)
+        F.col("row").alias(number), F.array_sort(F.filter("judged", lambda s: s["verdict"].isin(*LIVE))).alias(cuts)
     )
     live = live.where(F.size(cuts) > 0)
     text = F.col("text")
 
-    def cut(state: Column, span: Column) -> Column:
-        gap = F.when(
-            span["start"] >= state["at"],
-            F.concat(text.substr((state["at"] + 1).cast("int"), (span["start"] - state["at"]).cast("int")), F.lit("<"), span["kind"], F.lit(">")),
-        ).otherwise("")
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), F.concat(state["out"], gap).alias("out"))
+    def masked(held: Column) -> Column:
+        ends = F.transform(held["cuts"], lambda span: span["end"])
+
+        def parts(reached: Column) -> Column:
+            def part(span: Column, i: Column) -> Column:
+                at = F.get(reached, i)
+                shown = F.concat(cut(held["text"], at, span["start"]), F.lit("<"), span["kind"], F.lit(">"))
+                return F.when(span["start"] >= at, shown).otherwise("")
+
+            rest = cut(held["text"], F.array_max(ends), held["size"])
+            return F.concat(F.array_join(F.transform(held["cuts"], part), ""), rest)
+
+        return bind(greatest_before(ends), parts)
 
-    begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-    masked = F.aggregate(cuts, begin, cut, lambda s: F.concat(s["out"], text.substr((s["at"] + 1).cast("int"), F.length(text))))
+    held = F.struct(F.col(cuts).alias("cuts"), chunks(text).alias("text"), F.length(text).cast("bigint").alias("size"))
+    masked_text = bind(held, masked)
     fixed = numbered.join(live, number, "left")
-    return fixed.withColumn("text", F.when(F.col(cuts).isNotNull(), masked).otherwise(text)).select(documents.columns)
+    return fixed.withColumn("text", F.when(F.col(cuts).isNotNull(), masked_text).otherwise(text)).select(documents.columns)
