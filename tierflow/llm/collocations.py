@@ -46,7 +46,8 @@ HIDING = 100
 # The bitmaps have about eight bits per phrase, between these bounds.
 MIN_FILTER_BITS, FILTER_BITS = 1 << 16, 1 << 28
 # Text handled together inside a task.
-PART_BYTES = 4_000_000
+PART_BYTES = 2_000_000
+CODEC = "zstd"
 # A language's phrases are ranked in so many parts before the best of each part meet.
 RANK_PARTS = 64
 
@@ -80,12 +81,18 @@ class _Vocabulary(dict):
         return number
 
 
-_CODED = "lang string, shard int, words long, vocabulary binary, numbers binary"
+_CODED = "lang string, shard int, words long, vocabulary_size long, vocabulary binary, numbers_size long, numbers binary"
 
 
 def _coded(shards: int):
-    """Per slice of texts and language one row: its words, and their numbers in order of the text, 0 for a break."""
-    schema = pa.schema([("lang", pa.string()), ("shard", pa.int32()), ("words", pa.int64()), ("vocabulary", pa.binary()), ("numbers", pa.binary())])
+    """Per slice of texts and language one row: its words, and their numbers in order of the text, 0 for a break.
+
+    Both are compressed, so that a batch of rows stays small in the memory of the tasks that read them.
+    """
+    schema = pa.schema(
+        [("lang", pa.string()), ("shard", pa.int32()), ("words", pa.int64())]
+        + [field for name in ("vocabulary", "numbers") for field in ((f"{name}_size", pa.int64()), (name, pa.binary()))]
+    )
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # All parts of a task are of one shard, so that Spark adds up their counts before it shuffles them.
@@ -99,8 +106,10 @@ def _coded(shards: int):
                     coded += [np.fromiter(map(vocabulary.__getitem__, found), "<i4", len(found)), _BREAK]
                 for lang, (vocabulary, coded) in by_language.items():
                     numbers = np.concatenate(coded)
-                    row = [lang], [shard], [int(np.count_nonzero(numbers))], [b"\n".join(vocabulary.words)], [numbers.tobytes()]
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, schema.types, strict=True)], schema=schema)
+                    row = [lang, shard, int(np.count_nonzero(numbers))]
+                    for whole in (b"\n".join(vocabulary.words), numbers.tobytes()):
+                        row += [len(whole), pa.compress(whole, CODEC, asbytes=True)]
+                    yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, schema.types, strict=True)], schema=schema)
 
     return code
 
@@ -166,7 +175,8 @@ def _each_part(batches: Iterator[pa.RecordBatch], use: Callable[[Part, dict], pa
     for batch in batches:
         for k in range(batch.num_rows):
             row = {name: batch.column(name)[k].as_py() for name in batch.schema.names}
-            part = Part(row["lang"], row["vocabulary"], row["numbers"])
+            whole = [pa.decompress(row[name], row[f"{name}_size"], CODEC, asbytes=True) for name in ("vocabulary", "numbers")]
+            part = Part(row["lang"], *whole)
             if len(part.numbers):
                 yield use(part, row)
 
