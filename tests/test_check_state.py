@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tests.course_data import added, changed, clean_course, frames
 from tierflow.operators.check_state import add_part, remove_part, stored_results
 from tierflow.operators.checks import Check, CheckedTable, Collapses, CountBetween, Orphans, Repeats, Spread, run_checks
+from tierflow.operators.history import append_run, newest_first
 from tierflow.plans.course_checks import CHECKS, checked, tables_read
 from tierflow.plans.course_tables import clean_all
 
@@ -88,3 +89,12 @@ def test_parents_are_those_of_the_moment(spark, tmp_path):
         if keys == [(1,)]:
             add_part(table, "only", state)
         assert [(r["total_count"], r["fail_count"]) for r in stored_results(spark, state, [table]).collect()] == [(4, lost)]
+
+
+def test_runs_are_read_newest_first_with_their_change(spark, tmp_path, rows):
+    path, shape = str(tmp_path / "runs"), "table_name string, test_type string, column_name string, grain_columns string, failed_rows long"
+    for failed in ([("t", "A", None, None, 0), ("t", "B", "c", None, 5)], [("t", "A", None, None, 3)], [("t", "A", None, None, 3), ("t", "B", "c", None, 1)]):
+        number = append_run(spark.createDataFrame(failed, shape), path)
+    assert number == 3
+    got = [tuple(r) for r in newest_first(spark, path).select("run_id", "test_type", "previous_failed_rows", "change").collect()]
+    assert got == [(3, "A", 3, "same"), (3, "B", 5, "better"), (2, "A", 0, "worse"), (1, "A", None, "new"), (1, "B", None, "new")]

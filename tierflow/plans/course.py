@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.operators.checks import run_checks
+from tierflow.operators.history import append_run, newest_first
 from tierflow.plans.course_checks import CHECKS, checked, mart_tests
 from tierflow.plans.course_mart import MART_TABLES, Mart
 from tierflow.plans.course_tables import CLEANERS, INTERACTION, RAW_COLUMNS, RAW_FILES
 from tierflow.sources.files import read_csv_strings, rescued_rows
-from tierflow.sources.snapshots import append, publish, publish_scopes, read_snapshot
+from tierflow.sources.snapshots import publish, publish_scopes, read_snapshot
 from tierflow.sources.tables import in_key_order
 
 
@@ -77,9 +78,10 @@ class CourseStore:
         return {table: getattr(mart, table) for table in MART_TABLES}
 
     def validate_mart(self, mart: dict[str, DataFrame]) -> DataFrame:
-        """Append the outcome of the mart tests to their history."""
-        append(mart_tests(mart["fact_assessments"], mart["fact_vle_interactions"]), self.path("validation", "data_quality_results"))
-        return self.read("validation", "data_quality_results").orderBy(F.desc("test_timestamp"))
+        """Append the outcome of the mart tests to their history; newest first, with the change against the run before."""
+        path = self.path("validation", "data_quality_results")
+        append_run(mart_tests(mart["fact_assessments"], mart["fact_vle_interactions"]), path)
+        return newest_first(self.spark, path)
 
 
 def build(spark: SparkSession, source: str, root: str, allow_failures: bool = False) -> dict[str, dict[str, DataFrame]]:
