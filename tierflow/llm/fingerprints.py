@@ -19,7 +19,7 @@ one output row; an empty table gives an empty result. Other columns of the input
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -27,10 +27,9 @@ from tierflow.llm.common import whole_text
 
 SAMPLES = 24
 ROWS_A_RANGE = 2000
-# The bounds of ranges are part of the plan; beyond this number ranges hold more rows, and their windows spill.
-MAX_RANGES = 20_000
-# Gamma numbers come from this many bits of a hash: 1024 equally likely values, small enough to be part of the plan.
-GAMMA_BITS = 10
+# Gamma numbers come from this many bits of a hash: so many equally likely values, in a table of 128 KB that a subquery of
+# one row holds, not the plan.
+GAMMA_BITS = 14
 # A sample as text: twelve hexadecimal digits.
 DIGITS = 12
 
@@ -48,16 +47,16 @@ def gamma_values(size: int) -> np.ndarray:
     return (low + high) / 2
 
 
-def _constant(values: np.ndarray) -> Column:
-    """An array of doubles as one constant of the plan."""
-    return F.split(F.lit(",".join(map(repr, values.tolist()))), ",").cast("array<double>")
+def _held(spark: SparkSession, values: list, kind: str) -> Column:
+    """A table as the value of a subquery of one row: tasks read it, and the plan only names it."""
+    return spark.createDataFrame([(values,)], f"held {kind}").scalar()
 
 
 def _bits(hashed: Column, shift: int, width: int) -> Column:
     return F.shiftrightunsigned(hashed, shift).bitwiseAND(F.lit((1 << width) - 1))
 
 
-def sample(word: Column, log_weight: Column, number: int, gammas: Column) -> Column:
+def sample(word: Column, log_weight: Column, number: int, gammas: Column, log_gammas: Column) -> Column:
     """The word's draw for one sample as a long: value in the high bits, so the smallest one wins; word and level below.
 
     `word` is the word's 64-bit hash. One hash per sample gives two gamma numbers, drawn from equally likely values, and a
@@ -65,7 +64,7 @@ def sample(word: Column, log_weight: Column, number: int, gammas: Column) -> Col
     """
     hashed = F.xxhash64(word, F.lit(number))
     r = F.get(gammas, _bits(hashed, 0, GAMMA_BITS).cast("int"))
-    log_c = F.ln(F.get(gammas, _bits(hashed, GAMMA_BITS, GAMMA_BITS).cast("int")))
+    log_c = F.get(log_gammas, _bits(hashed, GAMMA_BITS, GAMMA_BITS).cast("int"))
     b = (_bits(hashed, 32, 32).cast("double") + 0.5) / float(1 << 32)
     level = F.floor(log_weight / r + b)
     log_value = log_c - r * (level - b) - r
@@ -76,37 +75,42 @@ def sample(word: Column, log_weight: Column, number: int, gammas: Column) -> Col
 
 
 def ranges(documents: DataFrame, rows: int = ROWS_A_RANGE) -> tuple[list[int], int]:
-    """The first ids of the ranges after the first, and the number of rows. A range holds whole ids."""
+    """The first ids of the ranges after the first, and the number of rows. A range holds whole ids.
+
+    One id per `rows` documents comes to the driver.
+    """
     count = documents.count()
-    dealt = documents.select("doc_id").where("doc_id IS NOT NULL").repartitionByRange(max(1, min(count // rows, MAX_RANGES)), "doc_id")
+    dealt = documents.select("doc_id").where("doc_id IS NOT NULL").repartitionByRange(max(1, count // rows), "doc_id")
     firsts = dealt.groupBy(F.spark_partition_id()).agg(F.min("doc_id").alias("first")).select("first").collect()
     return sorted(row.first for row in firsts)[1:], count
 
 
-def _range_of(doc_id: Column, firsts: list[int]) -> Column:
-    """The place of an id among the ranges, found in two steps."""
+def _with_range(rows: DataFrame, firsts: list[int]) -> DataFrame:
+    """Adds the place of each row's id among the ranges, found in two steps."""
     width = max(1, int(len(firsts) ** 0.5))
     groups = [firsts[at : at + width] for at in range(0, len(firsts), width)]
     if not groups:
-        return F.lit(0)
-    heads = F.array(*[F.lit(group[0]).cast("long") for group in groups])
-    group = F.size(F.filter(heads, lambda head: head <= doc_id))
-    inner = F.array(*[F.array(*[F.lit(first).cast("long") for first in part]) for part in groups])
-    inside = F.size(F.filter(F.get(inner, group - 1), lambda first: first <= doc_id))
-    return F.when(doc_id.isNull() | (group == 0), 0).otherwise((group - 1) * width + inside)
+        return rows.withColumn("range", F.lit(0))
+    spark, doc_id = rows.sparkSession, F.col("doc_id")
+    rows = rows.withColumn("heads", _held(spark, [part[0] for part in groups], "array<bigint>"))
+    group = F.size(F.filter("heads", lambda head: head <= doc_id))
+    rows = rows.withColumn("group", group).withColumn("inner", F.get(_held(spark, groups, "array<array<bigint>>"), F.col("group") - 1))
+    inside = F.size(F.filter("inner", lambda first: first <= doc_id))
+    place = F.when(doc_id.isNull() | (F.col("group") == 0), 0).otherwise((F.col("group") - 1) * width + inside)
+    return rows.withColumn("range", place.cast("int")).drop("heads", "group", "inner")
 
 
 def _dealt(documents: DataFrame) -> DataFrame:
     """Rows by range, in order, each with the next text; a range ends with a guest, the first row of the next one."""
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    firsts, count = ranges(rows)
-    dealt = rows.withColumn("range", _range_of(F.col("doc_id"), firsts).cast("int")).withColumn("guest", F.lit(False))
-    # The first row of each range: as many rows as there are ranges.
-    first_rows = dealt.where(F.col("doc_id").isNull() | F.col("doc_id").isin(firsts)) if firsts else dealt
+    firsts, _ = ranges(rows)
+    spark = documents.sparkSession
+    dealt = _with_range(rows, firsts).withColumn("guest", F.lit(False))
+    # The rows of each range's first id.
+    first_rows = dealt.where(F.col("range") > 0).where(F.get(_held(spark, firsts or [0], "array<bigint>"), F.col("range") - 1) == F.col("doc_id"))
     lowest = rows.orderBy(F.col("doc_id").asc_nulls_first(), "text").limit(1).withColumn("range", F.lit(len(firsts))).withColumn("guest", F.lit(True))
     guests = (
-        first_rows.where(F.col("range") > 0)
-        .groupBy("range")
+        first_rows.groupBy("range")
         .agg(F.min(F.struct("doc_id", "text")).alias("first"))
         .select("first.doc_id", "first.text", (F.col("range") - 1).alias("range"), F.lit(True).alias("guest"))
     )
@@ -150,8 +154,9 @@ def fingerprints(documents: DataFrame, samples: int = SAMPLES) -> DataFrame:
     hashed = F.when(F.col("word") != "", F.xxhash64("word")).alias("word")
     counted = words.select("range", "place", "kind", "told", hashed).groupBy("range", "place", "kind", "told", "word").agg(F.count("*").alias("weight"))
     drawn = counted.withColumn("log_weight", F.ln(F.col("weight").cast("double")))
-    gammas = _constant(gamma_values(1 << GAMMA_BITS))
-    draws = [sample(F.col("word"), F.col("log_weight"), k, gammas) for k in range(samples)]
+    values = gamma_values(1 << GAMMA_BITS)
+    tables = [_held(documents.sparkSession, list(map(float, x)), "array<double>") for x in (values, np.log(values))]
+    draws = [sample(F.col("word"), F.col("log_weight"), k, *tables) for k in range(samples)]
     smallest = [F.min(F.when(F.col("word").isNotNull(), draw)).alias(f"s{k}") for k, draw in enumerate(draws)]
     signed = drawn.groupBy("range", "place", "kind", "told").agg(*smallest)
     low = [F.coalesce(F.col(f"s{k}").bitwiseAND(F.lit((1 << 36) - 1)), F.lit(0)) for k in range(samples)]
