@@ -61,17 +61,18 @@ def test_cuts():
 
 def test_ids_equal_the_tokenizer():
     reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    reference.encode_special_tokens = True
     words = packing.word_ids(packing.vocabulary_path())
     random_ = random.Random(5)
     odd = "ab Z9'\t\n\r\x0b\x1c\x85\xa0" + "".join(map(chr, (0x2003, 0x3000, 0x200B, 0xE9, 0x6F22, 0x1F600))) + "s.,-_|"
-    texts = [t or "" for t in edge_texts()] + ["".join(random_.choices(odd, k=random_.randint(1, 40))) for _ in range(800)] + ["it's we're I'll <|endoftext|> x"]
+    texts = [t or "" for t in edge_texts()] + ["".join(random_.choices(odd, k=random_.randint(1, 40))) for _ in range(800)] + [
+        "it's we're I'll <|endoftext|> x", "<|endoftext|>", "a<|endoftext|><|endoftext|>\n b ", " <|endoftext|", "<|endoftext|>'s", "1 <|endoftext|>  2",
+    ]
     for text, want in zip(texts, reference.encode_batch(texts, add_special_tokens=False), strict=True):
         assert np.frombuffer(words.encode(text), "<u4").tolist() == want.ids
 
 
 def test_packed_documents(spark):
-    texts = edge_texts() + [prose(k, k % 90 + 1) for k in range(300)]
+    texts = edge_texts() + [prose(k, k % 90 + 1) for k in range(300)] + ["a <|endoftext|> b"]
     ids = [None, 7, 7, *range(3, len(texts))]
     reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     rows = packed_documents(frame(spark, texts, ids)).collect()

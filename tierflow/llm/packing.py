@@ -15,6 +15,7 @@ An empty table gives an empty result. Other columns of the input are ignored, wh
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -31,6 +32,8 @@ from tierflow.llm.common import frozen, slices, texts
 CAPACITY = 1024
 END = 2
 VOCABULARY = "byte_bpe_50k.tiktoken"
+# The file that names the special strings of the same vocabulary.
+SPECIALS = "byte_bpe_50k.json"
 # A worker keeps the ids of this many distinct words.
 CACHED_WORDS = 700_000
 ROWS_A_BUCKET = 20_000
@@ -43,15 +46,21 @@ _CHUNKS = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
 
 class WordIds(dict):
-    """The ids of a run of text as little-endian bytes, by run; bounded."""
+    """The ids of a run of text as little-endian bytes, by run; bounded.
 
-    def __init__(self, path: str):
+    Special strings are one id each wherever they stand, as `tokenizers` has them; what lies between them is text of its own.
+    """
+
+    def __init__(self, path: str, specials: dict[str, int] | None = None):
         import public_tokenizers
         import tiktoken
 
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.encoding = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.specials = {text: np.array([number], "<u4").tobytes() for text, number in (specials or {}).items()}
+        longest_first = sorted(self.specials, key=len, reverse=True)
+        self.split = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")").split if self.specials else None
 
     def __missing__(self, run: str) -> bytes:
         ids = np.array(self.encoding.encode_ordinary(run), "<u4").tobytes()
@@ -62,12 +71,25 @@ class WordIds(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, _CHUNKS.findall(text)))
+        if not any(special in text for special in self.specials):
+            return b"".join(map(self.__getitem__, _CHUNKS.findall(text)))
+        parts = self.split(text)
+        return b"".join(self.specials[part] if k % 2 else b"".join(map(self.__getitem__, _CHUNKS.findall(part))) for k, part in enumerate(parts))
+
+
+def special_strings(path: str) -> dict[str, int]:
+    """The special strings of a tokenizer file with their ids."""
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file)["added_tokens"]
+    odd = [token for token in added if token["lstrip"] or token["rstrip"] or token["single_word"] or token["normalized"]]
+    if odd:
+        raise ValueError(f"{path}: these added tokens are more than plain strings: {odd}")
+    return {token["content"]: token["id"] for token in added}
 
 
 @lru_cache(maxsize=1)
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def word_ids(path: str, specials: str | None = None) -> WordIds:
+    return WordIds(path, special_strings(specials or specials_path()))
 
 
 def vocabulary_path() -> str:
@@ -76,6 +98,12 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def specials_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(SPECIALS)
+
+
 def cuts(length: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     """(start, length) of a document's pieces: full ones, and the rest first."""
     first = length % capacity or capacity
@@ -84,9 +112,9 @@ def cuts(length: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     return [(0, first), *((start, capacity) for start in range(first, length, capacity))]
 
 
-def tokenised(documents: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
-    """The pieces of every document: row, doc_id, piece, start, length, ids_crc32 and ids."""
-    path = path or vocabulary_path()
+def tokenised(documents: DataFrame, capacity: int = CAPACITY, path: str | None = None, specials: str | None = None) -> DataFrame:
+    """The pieces of every document: row, doc_id, piece, start, length and ids_crc32."""
+    path, specials = path or vocabulary_path(), specials or specials_path()
     schema = pa.schema(
         [("row", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int32())]
         + [(name, pa.int64()) for name in ("start", "length", "ids_crc32")]
@@ -94,7 +122,7 @@ def tokenised(documents: DataFrame, capacity: int = CAPACITY, path: str | None =
     end = np.array([END], "<u4").tobytes()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_ids(path)
+        words = word_ids(path, specials)
         for batch in batches:
             for part in slices(batch, "text"):
                 out = []
