@@ -71,8 +71,8 @@ def test_the_start_model_is_the_unigram_model():
     assert np.allclose(p[1:], (counts[1:] + 0.5) / (counts[1:] + 0.5).sum(), atol=1e-5)
 
 
-def test_context_helps_on_held_out_texts(spark):
-    """Each word is mostly followed by a fixed other one: the model learns it, the unigram score cannot."""
+def chains(count, length=3000):
+    """Texts in which each word is mostly followed by a fixed other one."""
     random_ = random.Random(6)
     words = [f"w{k}" for k in range(12)]
 
@@ -82,10 +82,26 @@ def test_context_helps_on_held_out_texts(spark):
             out.append(words[(words.index(out[-1]) + 1) % 12] if random_.random() < 0.9 else random_.choice(words))
         return " ".join(out)
 
-    rows = score_documents(frame(spark, [text(3000) for _ in range(120)])).where("held_out").collect()
+    return [text(length) for _ in range(count)]
+
+
+def test_context_helps_on_held_out_texts(spark):
+    """The model learns which word follows, the unigram score cannot."""
+    rows = score_documents(frame(spark, chains(120))).where("held_out").collect()
     assert sum(r.score for r in rows) > 0.75 * sum(r.base_score for r in rows)
 
 
 def test_contexts():
     near, far = logbilinear.contexts(np.array([3, 4, 1, 5, 1, 1]), np.array([0, 3, 5]))
     assert near.tolist() == [0, 3, 4, 0, 5, 0] and far.tolist() == [0, 0, 3, 0, 0, 0]
+
+
+def test_learning_does_not_depend_on_how_the_table_is_split(spark, monkeypatch):
+    monkeypatch.setattr(logbilinear, "GROUP_TOKENS", 60_000)
+    docs = frame(spark, chains(100, 1500))
+    sums = []
+    for parts in (1, 8):
+        rows = score_documents(docs.repartition(parts)).where("held_out").collect()
+        sums.append(sum(r.score for r in rows))
+        assert sums[-1] > 0.75 * sum(r.base_score for r in rows)
+    assert abs(sums[0] - sums[1]) < 0.01 * abs(sums[0])

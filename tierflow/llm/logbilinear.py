@@ -5,9 +5,11 @@ words; the class of the next token follows from the two classes before it: the v
 position, are summed and multiplied with the vector of the class, plus its bias. A word of the class of others has the
 class's probability times its share among them (counts + 0.5).
 
-Training covers every training token. Word counts come from one pass. Then each task runs noise-contrastive estimation over
-its texts, starting from the same parameters (biases at the class frequencies); the tasks' parameters are averaged by their
-tokens, class by class. Scoring needs the normaliser of every context: for two positions it is one matrix product over the
+Training covers every training token. Word counts come from one pass. The training texts are dealt in ROUNDS rounds to groups
+of GROUP_TOKENS tokens, a number that follows the tokens and not the files. In a round every group runs noise-contrastive
+estimation over its texts, all from the same parameters (at first, biases at the class frequencies); the groups' parameters
+and step sizes, averaged by their tokens, begin the next round. So how far a group learns does not depend on how the table
+is split, and more data mean more groups, not fewer steps. Scoring needs the normaliser of every context: for two positions it is one matrix product over the
 classes, so every probability is normalised exactly.
 
 Words are told by 64-bit hashes. The HEAD most frequent ones, bounded, go to every task; counts of the others are joined,
@@ -26,7 +28,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
@@ -40,8 +41,10 @@ CLASSES = 1021
 SIZE = 16
 HEAD = 300_000
 NOISE = 25
-BATCH = 8192
-RATE = 0.05
+BATCH = 512
+RATE = 0.1
+ROUNDS = 4
+GROUP_TOKENS = 2_000_000
 CACHED_WORDS = 500_000
 COUNTED_BYTES = 16_000_000
 
@@ -264,44 +267,57 @@ def _classes(ranks: np.ndarray, words: int) -> np.ndarray:
     return np.where(ranks == -2, END, np.where((ranks >= 0) & (ranks < words), ranks + FIRST_WORD, OTHERS))
 
 
-def train(training: DataFrame, known: Lexicon) -> Model:
-    """One pass over all training texts; the tasks' models averaged by their tokens."""
-    shared = training.sparkSession.sparkContext.broadcast(known)
-    class_counts = known.class_counts()
-    width = 2 * SIZE + 1
+def _learnt(texts_: DataFrame, known, class_counts: np.ndarray, model: Model, squares: Model, number: int) -> tuple[Model, Model] | None:
+    """One round: each task learns from its texts; the mean of the tasks' parameters and squares by their tokens."""
+    width = 2 * (2 * SIZE + 1)
+    begin = np.hstack([model.rows(), squares.rows()])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, task = Ranks(shared.value), TaskContext.get().partitionId()
-        trainer = Trainer(Model.start(class_counts), class_counts, task)
+        ranks, task = Ranks(known.value), TaskContext.get().partitionId()
+        first, second = (Model.of_rows(half.copy()) for half in np.hsplit(begin, 2))
+        trainer = Trainer(first, class_counts, ROUNDS * task + number)
+        trainer.squares = [second.context, second.target, second.bias, second.weights]
         for batch in batches:
             for part in slices(batch, "text"):
                 found, starts, _ = _encoded(part, ranks)
-                classes = _classes(found, shared.value.words)
+                classes = _classes(found, known.value.words)
                 near, far = contexts(classes, starts)
                 order = trainer.random.permutation(len(classes))
                 for at in range(0, len(order), BATCH):
                     some = order[at : at + BATCH]
                     trainer.step(near[some], far[some], classes[some])
         if trainer.tokens:
-            rows = trainer.model.rows()
+            rows = np.hstack([trainer.model.rows(), Model(*trainer.squares).rows()])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(rows))), pa.array([task] * len(rows), pa.int64()), pa.array([trainer.tokens] * len(rows), pa.int64()), pa.array(list(rows), pa.list_(pa.float64()))],
-                ["row", "task", "tokens", "values"],
+                [pa.array(np.arange(len(rows))), pa.array([trainer.tokens] * len(rows), pa.int64()), pa.array(list(rows), pa.list_(pa.float64()))],
+                ["row", "tokens", "values"],
             )
 
-    def average(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("task")
-        mean = np.average(np.stack(pdf["values"].tolist()), axis=0, weights=pdf.tokens)
-        return pd.DataFrame({"row": pdf.row.iloc[:1].tolist(), "values": [mean]})
-
-    learnt = training.select("text").mapInArrow(learn, "row long, task long, tokens long, values array<double>")
-    rows = learnt.groupBy("row").applyInPandas(average, "row long, values array<double>").collect()  # a row per class
-    if not rows:
-        return Model.start(class_counts)
+    each = texts_.mapInArrow(learn, "row long, tokens long, values array<double>")
+    cells = each.select("row", "tokens", F.posexplode("values").alias("place", "value"))
+    mean = (F.sum(F.col("value") * F.col("tokens")) / F.sum("tokens")).alias("value")
+    table = cells.groupBy("row", "place").agg(mean).toArrow()  # a number per parameter
+    if not table.num_rows:
+        return None
     values = np.zeros((len(class_counts) + 2, width))
-    for row in rows:
-        values[row.row] = row["values"]
-    return Model.of_rows(values)
+    values[table["row"].to_numpy(), table["place"].to_numpy()] = table["value"].to_numpy()
+    first, second = np.hsplit(values, 2)
+    return Model.of_rows(first), Model.of_rows(second)
+
+
+def train(training: DataFrame, known: Lexicon) -> Model:
+    """All training texts in ROUNDS rounds, dealt evenly to groups of GROUP_TOKENS tokens."""
+    shared = training.sparkSession.sparkContext.broadcast(known)
+    class_counts = known.class_counts()
+    groups = max(1, -(-known.tokens // GROUP_TOKENS))
+    model = Model.start(class_counts)
+    squares = Model(*[np.full_like(x, 1e-6) for x in (model.context, model.target, model.bias, model.weights)])
+    turn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS))
+    for number in range(ROUNDS):
+        dealt = training.where(turn == number).select("text").repartition(groups)
+        learnt = _learnt(dealt, shared, class_counts, model, squares, number)
+        model, squares = learnt or (model, squares)
+    return model
 
 
 _SCORED = "row long, doc_id long, held_out boolean, n_tokens long, known long, head double, others double, model double, n_others long, keys array<long>, counts array<long>"
