@@ -54,10 +54,13 @@ from tierflow.sources.files import read_csv_strings, read_csv_typed, rescued_row
 from tierflow.sources.snapshots import delete_scopes, publish, publish_scopes, read_snapshot
 from tierflow.sources.tables import (
     append_rows,
+    comment_table,
     create_empty,
     create_if_absent,
     create_layers,
     day_spine_of,
+    list_layers,
+    list_tables,
     read_back,
     replace_table,
     table_columns,
@@ -1070,3 +1073,33 @@ def table_life_cycle(spark, folder):
     append_rows(kept.groupBy(F.col("o_orderstatus").alias("part"), "second_create").agg(rows), f"{layer}.log")
     append_rows(kept.groupBy(F.lit("all").alias("part"), "second_create").agg(rows), f"{layer}.log")
     return read_back(spark.table(f"{layer}.log"), "part")
+
+
+@query(
+    "layer_listing",
+    """SELECT 'raw' AS layer, 'orders' AS table_name, 'as delivered' AS comment, count(*) AS rows FROM orders
+       UNION ALL SELECT 'clean', 'orders', 'it''s one row per order', count(*) FROM orders WHERE o_totalprice > 0
+       UNION ALL SELECT 'mart', 'status', 'orders by status', count(DISTINCT o_orderstatus) FROM orders""",
+)
+def layer_listing(spark, folder):
+    """Three layers with commented tables, as the catalog lists them, with the rows that the tables hold."""
+    place = scratch_path(spark, "layers")
+    prefix = place.rsplit("/", 1)[1].replace("-", "_")
+    layers = [f"{prefix}_{name}" for name in ("raw", "clean", "mart")]
+    create_layers(spark, layers, place)
+    orders = read(spark, folder, "orders")
+    tables = {
+        f"{layers[0]}.orders": (orders, "as delivered"),
+        f"{layers[1]}.orders": (orders.filter("o_totalprice > 0"), "it's one row per order"),
+        f"{layers[2]}.status": (orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")), "orders by status"),
+    }
+    for name, (df, comment) in tables.items():
+        replace_table(df, name)
+        comment_table(spark, name, comment)
+    listed = list_tables(spark, [layer for layer in list_layers(spark) if layer in layers])
+    counts = [
+        spark.table(name).agg(F.lit(name.split(".")[0]).alias("layer"), F.lit(name.split(".")[1]).alias("table_name"), F.count(F.lit(1)).alias("rows"))
+        for name in tables
+    ]
+    met = listed.join(reduce(DataFrame.unionByName, counts), ["layer", "table_name"])
+    return met.withColumn("layer", F.substring_index("layer", "_", -1))

@@ -11,6 +11,7 @@ from tierflow.plans import course_tables as t
 from tierflow.plans import quality_reports as q
 from tierflow.plans.course import CourseStore, ValidationFailed, build
 from tierflow.plans.course_checks import CHECKS, mart_tests
+from tierflow.sources.tables import write_bucketed
 
 
 def write_files(folder, tables):
@@ -297,3 +298,22 @@ def test_flag_reports(spark, rows):
 
 def test_checks_cover_all_tables():
     assert set(CHECKS) == set(t.RAW_COLUMNS) == set(t.RAW_FILES)
+
+
+def test_bucketed_facts_meet_their_enrolments_without_an_exchange(spark, tmp_path, rows):
+    mart = mart_of(spark, clean_course())
+    spark.sql(f"CREATE DATABASE bucketed LOCATION '{tmp_path}/bucketed'")
+    try:
+        write_bucketed(mart.fact_vle_interactions, "bucketed.facts", t.ENROLMENT, 4)
+        write_bucketed(mart.dim_enrolment, "bucketed.enrolments", t.ENROLMENT, 4)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        facts, enrolments = spark.table("bucketed.facts"), spark.table("bucketed.enrolments")
+        met = r.engagement_per_enrolment(facts).join(enrolments, list(t.ENROLMENT))
+        assert "Exchange" not in met._jdf.queryExecution().executedPlan().toString()
+        trend = r.activity_trend(facts, mart.dim_date, enrolments)
+        # Only the days and the cells of the report are dealt anew.
+        assert "hashpartitioning(code_module" not in trend._jdf.queryExecution().executedPlan().toString()
+        assert rows(trend) == rows(r.activity_trend(mart.fact_vle_interactions, mart.dim_date, mart.dim_enrolment))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP DATABASE bucketed CASCADE")

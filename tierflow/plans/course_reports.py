@@ -150,7 +150,8 @@ def activity_trend(interactions: DataFrame, date: DataFrame, enrolment: DataFram
     # share one pass over the facts, and the joins see the smaller table.
     daily = interactions.groupBy(*ENROLMENT, "date", "activity_type").agg(F.sum("sum_click").alias("sum_click"))
     grouped = top_or_other(daily, "activity_type", "sum_click", k, "activity_type_grouped")
-    placed = grouped.join(date, "date").join(outcome, list(ENROLMENT))
+    # The enrolment first: facts stored by enrolment meet it where they are.
+    placed = grouped.join(outcome, list(ENROLMENT)).join(date, "date")
     cell = ("course_phase", "relative_week", "final_result", "activity_type_grouped")
     trend = distinct_counts(placed, cell, "id_student", "active_students", ["sum_click"]).withColumnRenamed("sum_click", "total_clicks")
     per_student = c.rounded_quotient(F.col("total_clicks"), F.col("active_students"), 1)

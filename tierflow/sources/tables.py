@@ -83,6 +83,22 @@ def write_ordered(df: DataFrame, path: str, keys: Sequence[str], partitions: int
     in_key_order(df, keys, partitions).write.mode("overwrite").parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int) -> None:
+    """Create or replace a catalog table whose files are dealt by `keys`, one file per bucket, sorted by them.
+
+    Tables with the same keys and number of buckets join and group by them (and by more columns) without moving a row.
+    Rows that share a key share a bucket, so the keys should be fine enough that no bucket is much larger than the others.
+    """
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+
+
+def list_tables(spark: SparkSession, layers: Sequence[str]) -> DataFrame:
+    """Layer, table and comment of every table in the named layers, from the catalog."""
+    found = [(layer, table.name, table.description) for layer in layers for table in spark.catalog.listTables(layer) if not table.isTemporary]
+    return spark.createDataFrame(found, "layer string, table_name string, comment string")
+
+
 def table_columns(spark: SparkSession, names: Sequence[str]) -> DataFrame:
     """Catalog listing: one row per column of the named tables."""
     rows = [
