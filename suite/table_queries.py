@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from suite.registry import query, read
+from suite.registry import ORACLES, query, read
 from tierflow.functions import cleaning as c
 from tierflow.functions import flags
 from tierflow.operators.checks import (
@@ -37,7 +37,7 @@ from tierflow.operators.grain import (
 from tierflow.operators.joins import enrich, gate, orphan_rows
 from tierflow.operators.profile import profile_columns, profile_tables
 from tierflow.operators.profile_state import stored_profile, update_profile
-from tierflow.operators.rank import with_positions, with_tiles
+from tierflow.operators.rank import with_positions, with_tiles, with_tiles_by_edges
 from tierflow.operators.scoring import Rule, with_score
 from tierflow.operators.summarise import (
     explode_factors,
@@ -410,6 +410,16 @@ def tiles_in_group(spark, folder):
     )
 
 
+@query("tiles_by_edges", ORACLES["tiles_in_group"])
+def tiles_by_edges(spark, folder):
+    """The same tiles from the keys of their last rows: the orders are counted, not sorted or written."""
+    orders = read(spark, folder, "orders").select("o_orderstatus", "o_totalprice", "o_orderkey")
+    tiled = with_tiles_by_edges(orders, ["o_orderstatus"], ["o_totalprice", "o_orderkey"], 4, "quartile")
+    return tiled.groupBy("o_orderstatus", "quartile").agg(
+        F.count(F.lit(1)).alias("orders"), F.min("o_totalprice").alias("lowest"), F.max("o_totalprice").alias("highest")
+    )
+
+
 @query(
     "group_correlation",
     """SELECT l_returnflag, l_linestatus, round(corr(l_quantity, l_extendedprice), 3) AS quantity_price_corr,

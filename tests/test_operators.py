@@ -187,28 +187,29 @@ def in_order(value):
 def test_tiles_with_missing_and_repeated_keys_match_ntile(spark, data, tiles):
     """Every key gets the tiles that NTILE deals to its rows, whichever of its rows gets which."""
     df = spark.createDataFrame([(g, v, k) for g, v, k in data], "g string, v double, k int").repartition(3)
-    got = sorted([tuple(r) for r in rank.with_tiles(df, ["g"], ["v", "k"], tiles, "t").collect()], key=lambda r: [in_order(x) for x in r])
     want = []
     for group in {g for g, _, _ in data}:
         members = sorted([row for row in data if row[0] == group], key=lambda r: [in_order(x) for x in r])
         want += [(*row, tile) for row, tile in zip(members, ntile(len(members), tiles), strict=True)]
-    assert got == sorted(want, key=lambda r: [in_order(x) for x in r])
+    for tiled in (rank.with_tiles, rank.with_tiles_by_edges):
+        got = [tuple(r) for r in tiled(df, ["g"], ["v", "k"], tiles, "t").collect()]
+        assert sorted(got, key=lambda r: [in_order(x) for x in r]) == sorted(want, key=lambda r: [in_order(x) for x in r])
 
 
 def test_tiles_of_texts_days_flags_and_no_groups(spark, rows):
     data = [("b", "2020-01-02", True, 1), ("a", "1900-05-01", None, 2), ("é", None, False, 3), (None, "2020-01-01", True, 4), ("", "2020-01-01", True, 5)]
     df = spark.createDataFrame(data, "t string, d string, f boolean, i int").withColumn("d", F.col("d").cast("date"))
-    assert rows(rank.with_tiles(df, [], ["t", "i"], 3, "x"), "i", "x") == [(1, 2), (2, 1), (3, 2), (4, 3), (5, 1)]
-    assert rows(rank.with_tiles(df, [], ["d", "i"], 5, "x"), "i", "x") == [(1, 4), (2, 1), (3, 5), (4, 2), (5, 3)]
-    assert rows(rank.with_tiles(df, [], ["f", "i"], 5, "x"), "i", "x") == [(1, 2), (2, 5), (3, 1), (4, 3), (5, 4)]
-    assert rank.with_tiles(df.limit(0), ["f"], ["i"], 4, "x").collect() == []
+    assert rows(rank.with_tiles_by_edges(df, [], ["t", "i"], 3, "x"), "i", "x") == [(1, 2), (2, 1), (3, 2), (4, 3), (5, 1)]
+    assert rows(rank.with_tiles_by_edges(df, [], ["d", "i"], 5, "x"), "i", "x") == [(1, 4), (2, 1), (3, 5), (4, 2), (5, 3)]
+    assert rows(rank.with_tiles_by_edges(df, [], ["f", "i"], 5, "x"), "i", "x") == [(1, 2), (2, 5), (3, 1), (4, 3), (5, 4)]
+    assert rank.with_tiles_by_edges(df.limit(0), ["f"], ["i"], 4, "x").collect() == []
 
 
 def test_tiles_run_nothing_before_they_are_read(spark):
     tracker, group = spark.sparkContext.statusTracker(), "tiles"
     spark.sparkContext.setJobGroup(group, group)
     try:
-        tiled = rank.with_tiles(spark.range(100).withColumn("g", F.col("id") % 3), ["g"], ["id"], 4, "t")
+        tiled = rank.with_tiles_by_edges(spark.range(100).withColumn("g", F.col("id") % 3), ["g"], ["id"], 4, "t")
         assert not tracker.getJobIdsForGroup(group)
         assert tiled.count() == 100 and tracker.getJobIdsForGroup(group)
     finally:
