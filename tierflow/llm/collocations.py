@@ -12,7 +12,7 @@ at least in proportion to that shard's words. So:
 3. The locally frequent phrases of all shards are united.
 4. Every candidate is counted in the whole corpus, as text, which gives exact numbers.
 
-Mining works on 64-bit hashes; equal hashes of different phrases can only add a candidate. Tasks learn which phrases are
+Mining works on 48-bit hashes; equal hashes of different phrases can only add a candidate. Tasks learn which phrases are
 frequent from a bitmap of hashes with a bounded size (FILTER_BITS at most, 32 MB); a full bitmap lets more phrases be
 counted, never fewer. Partial counts leave a task as one row per part and distinct phrase.
 
@@ -131,12 +131,12 @@ class Part:
         return self.pieces[: max(len(self.pieces) - k + 1, 0)] == self.pieces[k - 1 :]
 
     def phrases(self, k: int, at: np.ndarray | None = None) -> np.ndarray:
-        """Hash of the k words from each place, or from the places `at`, with the language."""
+        """48-bit hash of the k words from each place, or from the places `at`, with the language."""
         at = np.arange(max(len(self.hashes) - k + 1, 0)) if at is None else at
         h = np.full(len(at), k, np.uint64)
         for j in range(k):
             h = _mixed(h * _ODD + self.hashes[at + j])
-        return _mixed(h ^ self.language)
+        return _mixed(h ^ self.language) >> np.uint64(16)
 
 
 # ---- bitmaps ---------------------------------------------------------------------------------------------------------
