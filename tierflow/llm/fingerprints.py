@@ -18,7 +18,6 @@ one output row; an empty table gives an empty result. Other columns of the input
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -27,26 +26,12 @@ from tierflow.llm.common import whole_text
 
 SAMPLES = 24
 ROWS_A_RANGE = 2000
-# Gamma numbers come from this many bits of a hash: so many equally likely values, in a table of 128 KB that a subquery of
-# one row holds, not the plan.
-GAMMA_BITS = 14
 # A sample as text: twelve hexadecimal digits.
 DIGITS = 12
 
 _BLANKS = r"[\x20\x09-\x0D]+"
 
 
-def gamma_values(size: int) -> np.ndarray:
-    """`size` equally likely values of a Gamma(2, 1) number: the inverse of its distribution at the middles of equal steps."""
-    wanted = (np.arange(size) + 0.5) / size
-    low, high = np.zeros(size), np.full(size, 60.0)
-    for _ in range(80):
-        middle = (low + high) / 2
-        below = 1 - np.exp(-middle) * (1 + middle) < wanted
-        low, high = np.where(below, middle, low), np.where(below, high, middle)
-    return (low + high) / 2
-
-
 def _held(spark: SparkSession, values: list, kind: str) -> Column:
     """A table as the value of a subquery of one row: tasks read it, and the plan only names it."""
     return spark.createDataFrame([(values,)], f"held {kind}").scalar()
@@ -56,16 +41,22 @@ def _bits(hashed: Column, shift: int, width: int) -> Column:
     return F.shiftrightunsigned(hashed, shift).bitwiseAND(F.lit((1 << width) - 1))
 
 
-def sample(word: Column, log_weight: Column, number: int, gammas: Column, log_gammas: Column) -> Column:
+def _uniform(hashed: Column, shift: int, width: int) -> Column:
+    """A number between 0 and 1, without the ends, from some bits of a hash."""
+    return (_bits(hashed, shift, width).cast("double") + 0.5) / float(1 << width)
+
+
+def sample(word: Column, log_weight: Column, number: int) -> Column:
     """The word's draw for one sample as a long: value in the high bits, so the smallest one wins; word and level below.
 
-    `word` is the word's 64-bit hash. One hash per sample gives two gamma numbers, drawn from equally likely values, and a
-    uniform one. The logarithm of the value is cut to steps of 2**-17 and shifted to be positive.
+    `word` is the word's 64-bit hash. One hash per sample gives both gamma numbers, each minus the logarithm of the product
+    of two uniform numbers of 16 bits, another one the uniform number. The logarithm of the value is cut to steps of 2**-17
+    and shifted to be positive.
     """
-    hashed = F.xxhash64(word, F.lit(number))
-    r = F.get(gammas, _bits(hashed, 0, GAMMA_BITS).cast("int"))
-    log_c = F.get(log_gammas, _bits(hashed, GAMMA_BITS, GAMMA_BITS).cast("int"))
-    b = (_bits(hashed, 32, 32).cast("double") + 0.5) / float(1 << 32)
+    gammas, shift = F.xxhash64(word, F.lit(2 * number)), F.xxhash64(word, F.lit(2 * number + 1))
+    r = -F.ln(_uniform(gammas, 0, 16) * _uniform(gammas, 16, 16))
+    log_c = F.ln(-F.ln(_uniform(gammas, 32, 16) * _uniform(gammas, 48, 16)))
+    b = _uniform(shift, 0, 32)
     level = F.floor(log_weight / r + b)
     log_value = log_c - r * (level - b) - r
     steps = ((log_value + 128.0) * float(1 << 17)).cast("long")
@@ -154,9 +145,7 @@ def fingerprints(documents: DataFrame, samples: int = SAMPLES) -> DataFrame:
     hashed = F.when(F.col("word") != "", F.xxhash64("word")).alias("word")
     counted = words.select("range", "place", "kind", "told", hashed).groupBy("range", "place", "kind", "told", "word").agg(F.count("*").alias("weight"))
     drawn = counted.withColumn("log_weight", F.ln(F.col("weight").cast("double")))
-    values = gamma_values(1 << GAMMA_BITS)
-    tables = [_held(documents.sparkSession, list(map(float, x)), "array<double>") for x in (values, np.log(values))]
-    draws = [sample(F.col("word"), F.col("log_weight"), k, *tables) for k in range(samples)]
+    draws = [sample(F.col("word"), F.col("log_weight"), k) for k in range(samples)]
     smallest = [F.min(F.when(F.col("word").isNotNull(), draw)).alias(f"s{k}") for k, draw in enumerate(draws)]
     signed = drawn.groupBy("range", "place", "kind", "told").agg(*smallest)
     low = [F.coalesce(F.col(f"s{k}").bitwiseAND(F.lit((1 << 36) - 1)), F.lit(0)) for k in range(samples)]
