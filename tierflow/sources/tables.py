@@ -95,7 +95,11 @@ def write_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int)
 
 def list_tables(spark: SparkSession, layers: Sequence[str]) -> DataFrame:
     """Layer, table and comment of every table in the named layers, from the catalog."""
-    found = [(layer, table.name, table.description) for layer in layers for table in spark.catalog.listTables(layer) if not table.isTemporary]
+    found = []
+    for layer in layers:
+        for table in spark.sql(f"SHOW TABLES IN {layer}").where("NOT isTemporary").collect():
+            told = spark.sql(f"DESCRIBE TABLE EXTENDED {layer}.{table['tableName']}").where("col_name = 'Comment'").first()
+            found.append((layer, table["tableName"], told["data_type"] if told else None))
     return spark.createDataFrame(found, "layer string, table_name string, comment string")
 
 
