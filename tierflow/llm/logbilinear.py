@@ -41,7 +41,7 @@ CLASSES = 1021
 SIZE = 16
 HEAD = 300_000
 NOISE = 25
-BATCH = 512
+BATCH = 1024
 RATE = 0.1
 ROUNDS = 4
 GROUP_TOKENS = 2_000_000
@@ -252,6 +252,11 @@ class Trainer:
         self.tokens += len(target)
 
 
+def _ranks(known: Lexicon) -> Ranks:
+    """The places found so far in this worker; the tasks of a worker share a broadcast lexicon, and so what they found in it."""
+    return known.__dict__.setdefault("_found", Ranks(known))
+
+
 def _encoded(part: pa.RecordBatch, ranks: Ranks) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
     """Ranks of all tokens of some texts in a row (-2 for the end), the place of each text's first one, and the words."""
     words = [words_of(text) for text in texts(part, "text")]
@@ -273,7 +278,7 @@ def _learnt(texts_: DataFrame, known, class_counts: np.ndarray, model: Model, sq
     begin = np.hstack([model.rows(), squares.rows()])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, task = Ranks(known.value), TaskContext.get().partitionId()
+        ranks, task = _ranks(known.value), TaskContext.get().partitionId()
         first, second = (Model.of_rows(half.copy()) for half in np.hsplit(begin, 2))
         trainer = Trainer(first, class_counts, ROUNDS * task + number)
         trainer.squares = [second.context, second.target, second.bias, second.weights]
@@ -331,7 +336,7 @@ def _scored(documents: DataFrame, known: Lexicon, model: Model) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, logs, scores, normaliser = shared.value
-        ranks, end_log = Ranks(known), float(np.log10(known.ends + 0.5))
+        ranks, end_log = _ranks(known), float(np.log10(known.ends + 0.5))
         for batch in batches:
             for part in slices(batch, "text"):
                 found, starts, words = _encoded(part, ranks)
