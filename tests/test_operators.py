@@ -70,6 +70,20 @@ def test_a_reader_without_the_figure_does_not_join(spark, tmp_path, rows):
     assert rows(table.where("w = 2"), "k", "seen") == [(2, 3), (3, 3)]
 
 
+def test_growing_sides_are_not_broadcast_by_an_estimate(spark):
+    """All of these tables look small to the planner, as compressed files do."""
+    df = spark.range(10).selectExpr("id AS k", "id % 3 AS v")
+    found = [joins.orphan_counts(df, df, ["k"]), grain.with_distinct_per_entity(df, "k", "v", "seen"), joins.gate(df, joins.not_by_estimate(df), ["k"])]
+    assert [plan(out).count("BroadcastHashJoin") for out in found] == [0, 0, 0]
+
+
+def test_figures_are_repeated_for_the_salts_of_their_rows_only(spark, rows):
+    df = spark.createDataFrame([(k, k % 3, i) for k in range(200) for i in range(2)] + [(None, 1, 0)], "k int, v int, w int")
+    out = grain.with_distinct_per_entity(df, "k", "v", "seen", spread=["w"])
+    assert rows(out.groupBy("seen").count()) == [(1, 400), (None, 1)]
+    assert "_used" in plan(out)  # salts come from the key's rows, not from a list of all
+
+
 def test_lookups_come_to_their_key(spark, rows):
     lookup = spark.createDataFrame([(1, None, "z"), (1, 5, "a"), (1, 5, "b"), (2, None, None), (None, 3, "c")], "k int, d int, t string")
     assert rows(joins.one_per_key(lookup, ["k"])) == [(1, 5, "b"), (2, None, None), (None, 3, "c")]

@@ -29,6 +29,7 @@ from tierflow.operators.checks import (
     results_of,
     row_counts,
 )
+from tierflow.operators.joins import not_by_estimate
 from tierflow.sources.snapshots import delete_scopes, publish_scopes, read_snapshot
 
 PART = "part"
@@ -126,7 +127,7 @@ def stored_results(spark: SparkSession, state: str, tables: Sequence[CheckedTabl
     if parents is None:
         known = entities.withColumn("_known", F.lit(None).cast("boolean"))
     else:
-        known = entities.join(parents.withColumn("_known", F.lit(True)), [*check, "entity"], "left")
+        known = entities.join(not_by_estimate(parents.withColumn("_known", F.lit(True))), [*check, "entity"], "left")
     kind, n = F.col("kind"), F.col("n")
     lost = (kind == ORPHANS) & F.col("_known").isNull()
     wide = (kind == SPREAD) & (F.col("seen") > F.col("bound"))
