@@ -82,3 +82,8 @@ def test_shared_folder_is_the_one_the_cluster_names(spark):
     assert session.shared_dir(spark) == named
     assert session.scratch_path(spark, "x").startswith(named)
     assert session.stable(spark.range(3)).count() == 3
+
+
+def test_buckets_follow_the_rows():
+    rows = tables.BUCKET_ROWS
+    assert [tables.bucket_number(n) for n in (0, rows, 8 * rows, 8 * rows + 1, 860 * rows)] == [8, 8, 8, 9, 860]
