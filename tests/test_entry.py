@@ -48,3 +48,10 @@ def compiled(spark):
 def test_query_compiled(compiled, duck, name):
     _, notes = differences(queries()[name](compiled, ENTRY_FOLDER), duck, oracle_sql()[name])
     assert not notes
+
+
+@pytest.mark.parametrize("name", ["dq_all", "dq_student_vle"])
+def test_checks_scan_stored_tables(spark, name):
+    """Their passes do not derive the tables anew."""
+    plan = queries()[name](spark, ENTRY_FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan and "o_orderkey" not in plan
