@@ -150,3 +150,19 @@ def test_without_both_classes_all_pass(spark):
     got = judged(spark, ["http://a.net/x", None, "http://b.org/"])
     assert [r[4] for r in got] == ["allow"] * 3 and [r[5] for r in got] == [0.0] * 3
     assert judged(spark, []) == []
+
+
+def test_scores_beyond_what_tasks_hold_are_those_of_the_whole_models(spark):
+    """With room for few entries every score, the limit and odd or repeated URLs come out as with room for all."""
+    made = urls(7, 250)
+    accepted, rejected = [x for x in made if ".org" in x], [x for x in made if ".com" in x]
+    whole, small = models(spark, accepted, rejected), models(spark, accepted, rejected, entries=150)
+    assert small.counts is not None and 0 < len(small.accepted.entries) + len(small.rejected.entries) <= 150
+    assert small.limit == whole.limit
+    asked = [*urls(8, 60), "", "e\u0301😀", "x" * 3000, accepted[0], accepted[0], "http://"]
+    frame = spark.createDataFrame([(i, x) for i, x in enumerate(asked)], "page_id long, url string")
+    got, want = ({r.page_id: r.score for r in f.with_scores(frame).collect()} for f in (small, whole))
+    good, bad = Plain(learnt(accepted)), Plain(learnt(rejected))
+    for i, x in enumerate(asked):
+        plain = (good.log_likelihood(x) - bad.log_likelihood(x)) / (len(x) + 1)
+        assert got[i] == pytest.approx(want[i], abs=1e-9) and want[i] == pytest.approx(plain, abs=1e-9), x
