@@ -323,3 +323,21 @@ def test_unique_test_counts_keys_not_rows(spark):
 
 def test_all_cleaners_are_checked():
     assert set(CHECKS) == set(CLEANERS)
+
+
+def test_clean_tables_are_made_from_the_stored_raw_ones(spark, monkeypatch):
+    """Each raw table is derived once, not a second time below the clean one."""
+    from suite import course_queries
+
+    derived = []
+
+    def counted(spark, folder, names):
+        derived.extend(names)
+        return raw_course(spark, folder, names)
+
+    raw_course = course_queries.raw_course
+    monkeypatch.setattr(course_queries, "raw_course", counted)
+    for kept in (course_queries._plan, course_queries._stored_path):
+        kept.cache_clear()
+    course_queries._stored_layers(spark, "/root/testdata/sf0.001", ["student_registration"])
+    assert sorted(derived) == ["courses", "student_registration"]
