@@ -317,3 +317,30 @@ def test_bucketed_facts_meet_their_enrolments_without_an_exchange(spark, tmp_pat
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP DATABASE bucketed CASCADE")
+
+
+def test_interactions_are_dealt_to_tasks_by_their_rows(spark, monkeypatch):
+    """Raw against clean and the mart's unique tests hold a task's share of the keys, whatever the size of the table."""
+    from suite import course_queries
+    from tierflow.sources import tables
+
+    folder = "/root/testdata/sf0.001"
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet").count()
+    monkeypatch.setattr(tables, "BUCKET_ROWS", 500)
+    tasks = -(-lines // 500)
+    for name in ("raw_vs_clean", "dq_mart"):
+        plan = getattr(course_queries, name)(spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+        assert "id_site#" in plan and f", {tasks}" in plan and "RepartitionByExpression" in plan, name
+    assert "Expand" not in course_queries.raw_vs_clean(spark, folder)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_raw_vs_clean_counts_missing_values(spark):
+    from tierflow.plans.course_reports import raw_vs_clean
+    from tierflow.plans.course_tables import merge_student_vle
+
+    rows = [("AAA", "2013J", 1, 5, 0, 3), ("AAA", "2013J", 1, 5, 0, 4), ("AAA", "2013J", None, 5, 0, None), (None, None, 2, None, 1, 1)]
+    raw = spark.createDataFrame(rows, "code_module string, code_presentation string, id_student int, id_site int, date int, sum_click int")
+    found = {r.table_name: tuple(r)[:4] for r in raw_vs_clean(raw, merge_student_vle(raw)).collect()}
+    assert found == {"Raw Table": (4, 3, 2, 8), "Clean Table": (3, 3, 2, 8)}
+    empty = raw_vs_clean(raw.limit(0), raw.limit(0)).first()
+    assert tuple(empty)[:4] == (0, 0, 0, None)
