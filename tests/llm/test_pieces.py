@@ -1,7 +1,9 @@
 import random
 
+import numpy as np
 import pytest
 
+from tierflow.llm import pieces
 from tierflow.llm.pieces import BLANK, Chunks, Lattice, model_path, segment
 
 from .cases import edge_texts, frame
@@ -49,6 +51,41 @@ def test_search_opens_few_places(lattice):
     assert len(found) == 4 and found[0][0] >= found[-1][0]
 
 
+def test_new_chunks_are_solved_together(lattice, monkeypatch):
+    """The search runs for the few chunks that a text's N best may change, not for every new one."""
+    random_ = random.Random(5)
+    words = sorted({"".join(random_.choices("etaoinshrdlu", k=random_.randint(3, 12))) for _ in range(3000)})
+    searched, search = [], lattice.best
+    monkeypatch.setattr(lattice, "best", lambda chunk, n: searched.append(chunk) or search(chunk, n))
+    best, found = Chunks(lattice, 4).segment(" ".join(words))
+    assert len(words) > 2500 and len(found) == 4 and len(searched) < 20
+    assert lattice.decode(best.tolist()) == " ".join(words)
+
+
+def test_chunks_solved_together_equal_the_search(lattice):
+    random_ = random.Random(7)
+    letters = [*"aetnoirs.,1é", BLANK, "漢", "\U0001f600", "\u0378"]
+    chunks = ["".join(random_.choices(letters, k=random_.randint(1, 32))) for _ in range(1500)] + ["a", "\u0378", BLANK * 32, "a" * 32, "un" * 16]
+    for chunk, (ids, cost) in zip(chunks, lattice.cheapest(chunks), strict=True):
+        found = lattice.best(chunk, 2)
+        assert np.frombuffer(ids, "<i4").tolist() == found[0][1]
+        assert cost == (found[0][0] - found[1][0] if len(found) > 1 else np.inf)
+
+
+def test_texts_together_equal_texts_alone(lattice, monkeypatch):
+    """Also when fewer chunks are kept than the texts have, and chunks are longer than those that are kept."""
+    monkeypatch.setattr(pieces, "KEPT_CHUNKS", 7)
+    monkeypatch.setattr(pieces, "KEPT_PARTS", 5)
+    monkeypatch.setattr(pieces, "BLOCK_ARCS", 300)
+    texts = [text or "" for text in edge_texts() if len(text or "") < 50_000] + ["漢字" * 40 + " the cat", "the cat é ç" * 9, "x1y2" * 30]
+    together = Chunks(lattice, 4)
+    for _ in range(2):
+        for text, (best, found) in zip(texts, together.segment_all(texts), strict=True):
+            alone_best, alone = Chunks(lattice, 4).segment(text)
+            assert best.tolist() == alone_best.tolist()
+            assert [(score, ids.tolist()) for score, ids in found] == [(score, ids.tolist()) for score, ids in alone]
+
+
 def test_round_trip(spark):
     texts = edge_texts()
     rows = segment(frame(spark, texts, ids=[None, 1, 1, *range(3, 11)])).collect()

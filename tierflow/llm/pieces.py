@@ -10,6 +10,10 @@ in no piece at all. There the lattice falls apart into lattices of short chunks,
 path of every chunk. The N best of the text differ from it in few chunks: only the N - 1 cheapest single changes can take
 part, and their combinations are ordered by total. Chunks recur, so a task keeps what it found for them (bounded).
 
+Of most chunks only the best path and the cost of the cheapest change are needed. The new chunks of many texts get them
+together, one step for all chunks of a length: a Viterbi pass from either end gives the best total through every arc, and the
+best one through an arc beside the best path is the second best path's. The A-star search is left to chunks that may change.
+
 Defined results: a null text is the empty text: one segmentation without pieces, score 0. Texts with fewer than N
 segmentations have fewer. Equal totals come in a fixed order: the best path first, then changes nearer the text's start.
 Every input row gives one output row, repeated rows and null ids included. The character U+2581 in a text is a blank after
@@ -21,8 +25,9 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +42,11 @@ BEST = 4
 KEPT_CHUNKS = 300_000
 KEPT_PARTS = 150_000
 KEPT_FULL = 20_000
+# Longer texts are not kept, and searched one at a time.
+SHORT = 32
+# Chunks searched together have at most this many arcs, and texts segmented together this many bytes.
+BLOCK_ARCS = 1_000_000
+GROUP_BYTES = 2_000_000
 BLANK = chr(0x2581)
 _UNKNOWN_PENALTY = 10.0
 
@@ -55,6 +65,8 @@ class Lattice:
         self.arcs = {name: (i, model.get_score(i)) for i, name in self.names.items()}
         self.longest = max(map(len, self.arcs))
         self.unknown_score = min(score for _, score in self.arcs.values()) - _UNKNOWN_PENALTY
+        # Whole numbers add up exactly in any order, so that equal totals are equal in every search.
+        self.exact = all(float(score).is_integer() for _, score in self.arcs.values())
         self.bytes = {b: model.piece_to_id(f"<0x{b:02X}>") for b in range(256)}
         # The score of each id; an unknown character's is on its first byte, so ids alone give the total.
         self.scores = np.zeros(model.get_piece_size())
@@ -70,6 +82,15 @@ class Lattice:
             for character in name:
                 node = node.setdefault(character, {})
             node[""] = arc
+        # The tree as arrays: the steps (node, next character) in order, the k-th of which leads to node k + 1.
+        nodes, steps = [self.tree], []
+        for k, node in enumerate(nodes):
+            for character in sorted(filter(None, node)):
+                steps.append(k << 21 | ord(character))
+                nodes.append(node[character])
+        self.steps = np.array([*steps, 1 << 62])
+        self.node_pieces = np.array([node[""][0] if "" in node else -1 for node in nodes], np.int32)
+        self.node_scores = np.array([node[""][1] if "" in node else -np.inf for node in nodes])
         # Pairs of neighbours inside any piece; between other pairs the lattice falls apart.
         self.pairs = {name[k : k + 2] for name in self.arcs for k in range(len(name) - 1)}
 
@@ -114,6 +135,75 @@ class Lattice:
                 heapq.heappush(heap, (-(behind + score + forward[start]), age, start, behind + score, (piece, path)))
         return found
 
+    def cheapest(self, chunks: list[str]) -> list[tuple[bytes, float]]:
+        """Per chunk the ids of the first of `best` as bytes, and what the second costs more (without one: infinity)."""
+        out: list = [None] * len(chunks)
+        lengths: dict[int, list[int]] = {}
+        for k, chunk in enumerate(chunks):
+            lengths.setdefault(len(chunk), []).append(k)
+        for size, places in lengths.items():
+            room = max(1, BLOCK_ARCS // (size * min(size, self.longest)))
+            for at in range(0, len(places), room):
+                block = places[at : at + room]
+                for k, found in zip(block, self._cheapest([chunks[k] for k in block], size), strict=True):
+                    out[k] = found
+        return out
+
+    def _cheapest(self, chunks: list[str], size: int) -> list[tuple[bytes, float]]:
+        """The same for chunks of one length. Arrays go by place (or length and place of an arc's start), then by chunk."""
+        n = len(chunks)
+        characters = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64).reshape(n, size).T.ravel()
+        # The nodes of the arcs, 0 where no piece goes on.
+        nodes = np.zeros((min(size, self.longest), size * n), np.int32)
+        starts, node, depth = np.arange(size * n), np.zeros(size * n, np.int64), 0
+        while len(starts) and depth < len(nodes):
+            step = node << 21 | characters[starts + depth * n]
+            node = np.searchsorted(self.steps, step)
+            known = self.steps[node] == step
+            starts, node = starts[known], node[known] + 1
+            nodes[depth, starts] = node
+            depth += 1
+            inside = np.searchsorted(starts, (size - depth) * n)
+            starts, node = starts[:inside], node[:inside]
+        nodes = nodes[:depth].reshape(depth, size, n)
+        scores = self.node_scores[nodes]
+        scores[0][np.isneginf(scores[0])] = self.unknown_score
+        forward, backward = np.full((2, size + 1, n), -np.inf)
+        forward[0] = backward[size] = 0.0
+        # The length of the best arc to a place; of equal ones the shortest, which the search opens first.
+        last = np.zeros((size + 1, n), np.int64)
+        for start in range(size):
+            reach = slice(start + 1, start + 1 + depth)
+            totals = scores[: size - start, start] + forward[start]
+            better = totals >= forward[reach]
+            np.copyto(forward[reach], totals, where=better)
+            np.copyto(last[reach], np.arange(1, len(totals) + 1)[:, None], where=better)
+        for start in reversed(range(size)):
+            backward[start] = (scores[: size - start, start] + backward[start + 1 : start + 1 + depth]).max(0)
+        # The piece that starts at a place on the best path (-1: none, below: an unknown character), and the path's arcs put out.
+        pieces = np.full((n, size), -1, np.int64)
+        row, place = np.arange(n), np.full(n, size)
+        while len(row):
+            length = last[place, row]
+            place = place - length
+            piece = self.node_pieces[nodes[length - 1, place, row]]
+            pieces[row, place] = np.where(piece < 0, -2 - characters[place * n + row], piece)
+            scores[length - 1, place, row] = -np.inf
+            row, place = row[place > 0], place[place > 0]
+        second = np.full(n, -np.inf)
+        for start in range(size):
+            beside = (scores[: size - start, start] + backward[start + 1 : start + 1 + depth]).max(0)
+            np.maximum(second, beside + forward[start], out=second)
+        ends = 4 * np.cumsum((pieces != -1).sum(1))
+        ids = pieces[pieces != -1].astype("<i4").tobytes()
+        out = [(ids[a:b], cost) for a, b, cost in zip([0, *ends.tolist()], ends.tolist(), (forward[size] - second).tolist(), strict=False)]
+        for k in np.flatnonzero((pieces < -1).any(1)).tolist():
+            path = None
+            for piece in reversed(pieces[k][pieces[k] != -1].tolist()):
+                path = (piece + 1 if piece < 0 else piece, path)
+            out[k] = (np.array(self._ids(path), "<i4").tobytes(), out[k][1])
+        return out
+
     def _ids(self, path) -> list[int]:
         ids = []
         while path is not None:
@@ -136,19 +226,28 @@ class Kept(dict):
     So common texts stay and memory is bounded; texts of more than 32 characters are not kept.
     """
 
-    def __init__(self, find, room: int):
+    def __init__(self, find: Callable[[list[str]], list], room: int):
         self.find, self.room, self.old = find, room, {}
 
-    def __missing__(self, text: str) -> tuple:
-        known = self.old.get(text)
-        if known is None:
-            known = self.find(text)
-        if len(text) <= 32:
-            if len(self) >= self.room:
-                self.old = dict(self)
-                self.clear()
-            self[text] = known
-        return known
+    def __missing__(self, text: str):
+        return self.of([text])[text]
+
+    def of(self, texts: Iterable[str]) -> dict:
+        """The results of some texts; those that are not kept are found together."""
+        found = dict.fromkeys(texts)
+        for text in found:
+            found[text] = self.get(text)
+        late = [text for text, result in found.items() if result is None]
+        new = [text for text in late if text not in self.old]
+        found.update((text, self.old[text]) for text in late if text in self.old)
+        found.update(zip(new, self.find(new), strict=True))
+        for text in late:
+            if len(text) <= SHORT:
+                if len(self) >= self.room:
+                    self.old = dict(self)
+                    self.clear()
+                self[text] = found[text]
+        return found
 
 
 class Chunks:
@@ -156,29 +255,41 @@ class Chunks:
 
     def __init__(self, lattice: Lattice, n: int):
         self.lattice, self.n = lattice, n
-        self.parts = Kept(self._part, KEPT_PARTS)
-        self.full = Kept(lambda part: lattice.best(part, n), KEPT_FULL)
-        self.chunks = Kept(self._chunk, KEPT_CHUNKS)
+        self.parts = Kept(self._of_parts, KEPT_PARTS)
+        self.full = Kept(lambda parts: [lattice.best(part, n) for part in parts], KEPT_FULL)
+        self.chunks = Kept(self._of_chunks, KEPT_CHUNKS)
 
-    def _part(self, part: str) -> tuple:
+    def _of_parts(self, parts: list[str]) -> list[tuple[bytes, float]]:
         """(ids as bytes, cost of the cheapest change); all N are searched only where a text may need them."""
-        found = self.lattice.best(part, min(self.n, 2))
-        cost = found[0][0] - found[1][0] if len(found) > 1 else np.inf
-        return (np.array(found[0][1], "<i4").tobytes(), cost)
-
-    def _chunk(self, chunk: str) -> tuple:
-        """The same of a chunk, which still has its plain blanks."""
-        parts = [self.parts[part] for part in self.lattice.parts(chunk.replace(" ", BLANK))]
-        if len(parts) == 1:
-            return parts[0]
-        return (b"".join([p[0] for p in parts]), min([p[1] for p in parts]))
+        short = [part for part in parts if len(part) <= SHORT and self.lattice.exact]
+        known = dict(zip(short, self.lattice.cheapest(short), strict=True))
+        for part in parts:
+            if part not in known:
+                found = self.lattice.best(part, min(self.n, 2))
+                known[part] = (np.array(found[0][1], "<i4").tobytes(), found[0][0] - found[1][0] if len(found) > 1 else np.inf)
+        return [known[part] for part in parts]
+
+    def _of_chunks(self, chunks: list[str]) -> list[tuple[bytes, float]]:
+        """The same of chunks, which still have their plain blanks. Long ones are put together from their parts."""
+        cut = [[chunk.replace(" ", BLANK)] if len(chunk) <= SHORT else self.lattice.parts(chunk.replace(" ", BLANK)) for chunk in chunks]
+        long = self.parts.of(part for parts in cut if len(parts) > 1 for part in parts)
+        whole = iter(self._of_parts([parts[0] for parts in cut if len(parts) == 1]))
+        return [next(whole) if len(parts) == 1 else (b"".join([long[p][0] for p in parts]), min([long[p][1] for p in parts])) for parts in cut]
 
     def segment(self, text: str) -> tuple[np.ndarray, list[tuple[float, np.ndarray]]]:
         """Ids of the best segmentation, and the N best as (score, ids)."""
-        if not text:
+        return next(self.segment_all([text]))
+
+    def segment_all(self, texts: list[str]) -> Iterator[tuple[np.ndarray, list[tuple[float, np.ndarray]]]]:
+        """The same of every text; their new chunks are solved together."""
+        cut = [_CHUNKS.findall(" " + (text.replace(BLANK, " ") if BLANK in text else text)) if text else [] for text in texts]
+        known = self.chunks.of(chain.from_iterable(cut))
+        for chunks in cut:
+            yield self._segment(chunks, list(map(known.__getitem__, chunks)))
+
+    def _segment(self, chunks: list[str], known: list[tuple[bytes, float]]) -> tuple[np.ndarray, list[tuple[float, np.ndarray]]]:
+        if not chunks:
             return np.zeros(0, "<i4"), [(0.0, np.zeros(0, "<i4"))]
-        chunks = _CHUNKS.findall(" " + (text.replace(BLANK, " ") if BLANK in text else text))
-        known = list(map(self.chunks.__getitem__, chunks))
         ids = [k[0] for k in known]
         best = np.frombuffer(b"".join(ids), "<i4")
         score = float(self.lattice.scores[best].sum())
@@ -236,9 +347,9 @@ def segment(documents: DataFrame, n: int = BEST, path: str | None = None) -> Dat
     def segmented(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks = chunks_of(path, n)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", GROUP_BYTES):
                 values = texts(part, "text")
-                found = [chunks.segment(text) for text in values]
+                found = list(chunks.segment_all(values))
                 ids = [f[0] for f in found]
                 back = [chunks.lattice.decode(i.tolist()) == text for i, text in zip(ids, values, strict=True)]
                 offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
