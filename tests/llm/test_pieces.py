@@ -86,6 +86,15 @@ def test_texts_together_equal_texts_alone(lattice, monkeypatch):
             assert [(score, ids.tolist()) for score, ids in found] == [(score, ids.tolist()) for score, ids in alone]
 
 
+def test_scores_that_are_not_whole_numbers_are_left_to_the_search(lattice, monkeypatch):
+    text = "the cat é ç of of " + "un" * 30
+    want = [(score, ids.tolist()) for score, ids in Chunks(lattice, 4).segment(text)[1]]
+    assert lattice.exact
+    monkeypatch.setattr(lattice, "exact", False)
+    monkeypatch.setattr(lattice, "cheapest", lambda chunks: chunks and pytest.fail("not exact"))
+    assert [(score, ids.tolist()) for score, ids in Chunks(lattice, 4).segment(text)[1]] == want
+
+
 def test_round_trip(spark):
     texts = edge_texts()
     rows = segment(frame(spark, texts, ids=[None, 1, 1, *range(3, 11)])).collect()

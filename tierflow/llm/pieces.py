@@ -74,7 +74,9 @@ class Lattice:
             self.scores[piece] = score
         for byte, piece in self.bytes.items():
             self.scores[piece] = 0.0 if 0x80 <= byte < 0xC0 else self.unknown_score
-        self.as_bytes = {i: name.encode() for i, name in self.names.items()} | {i: bytes([b]) for b, i in self.bytes.items()}
+        self.as_bytes = [b""] * model.get_piece_size()
+        for i, name in [*((i, name.encode()) for i, name in self.names.items()), *((i, bytes([b])) for b, i in self.bytes.items())]:
+            self.as_bytes[i] = name
         # The pieces by their characters: a node leads on by the next character, and at "" has the arc of the piece it ends.
         self.tree: dict = {}
         for name, arc in self.arcs.items():
@@ -136,7 +138,10 @@ class Lattice:
         return found
 
     def cheapest(self, chunks: list[str]) -> list[tuple[bytes, float]]:
-        """Per chunk the ids of the first of `best` as bytes, and what the second costs more (without one: infinity)."""
+        """Per chunk the ids of the first of `best` as bytes, and what the second costs more (without one: infinity).
+
+        Plain blanks may stand for BLANK.
+        """
         out: list = [None] * len(chunks)
         lengths: dict[int, list[int]] = {}
         for k, chunk in enumerate(chunks):
@@ -153,6 +158,7 @@ class Lattice:
         """The same for chunks of one length. Arrays go by place (or length and place of an arc's start), then by chunk."""
         n = len(chunks)
         characters = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64).reshape(n, size).T.ravel()
+        characters[characters == ord(" ")] = ord(BLANK)
         # The nodes of the arcs, 0 where no piece goes on.
         nodes = np.zeros((min(size, self.longest), size * n), np.int32)
         starts, node, depth = np.arange(size * n), np.zeros(size * n, np.int64), 0
@@ -234,12 +240,11 @@ class Kept(dict):
 
     def of(self, texts: Iterable[str]) -> dict:
         """The results of some texts; those that are not kept are found together."""
-        found = dict.fromkeys(texts)
-        for text in found:
-            found[text] = self.get(text)
+        texts = list(dict.fromkeys(texts))
+        found = dict(zip(texts, map(self.get, texts), strict=True))
         late = [text for text, result in found.items() if result is None]
-        new = [text for text in late if text not in self.old]
-        found.update((text, self.old[text]) for text in late if text in self.old)
+        found.update(zip(late, map(self.old.get, late), strict=True))
+        new = [text for text in late if found[text] is None]
         found.update(zip(new, self.find(new), strict=True))
         for text in late:
             if len(text) <= SHORT:
@@ -262,19 +267,23 @@ class Chunks:
     def _of_parts(self, parts: list[str]) -> list[tuple[bytes, float]]:
         """(ids as bytes, cost of the cheapest change); all N are searched only where a text may need them."""
         short = [part for part in parts if len(part) <= SHORT and self.lattice.exact]
+        if len(short) == len(parts):
+            return self.lattice.cheapest(parts)
         known = dict(zip(short, self.lattice.cheapest(short), strict=True))
         for part in parts:
             if part not in known:
-                found = self.lattice.best(part, min(self.n, 2))
+                found = self.lattice.best(part.replace(" ", BLANK), min(self.n, 2))
                 known[part] = (np.array(found[0][1], "<i4").tobytes(), found[0][0] - found[1][0] if len(found) > 1 else np.inf)
         return [known[part] for part in parts]
 
     def _of_chunks(self, chunks: list[str]) -> list[tuple[bytes, float]]:
         """The same of chunks, which still have their plain blanks. Long ones are put together from their parts."""
-        cut = [[chunk.replace(" ", BLANK)] if len(chunk) <= SHORT else self.lattice.parts(chunk.replace(" ", BLANK)) for chunk in chunks]
-        long = self.parts.of(part for parts in cut if len(parts) > 1 for part in parts)
-        whole = iter(self._of_parts([parts[0] for parts in cut if len(parts) == 1]))
-        return [next(whole) if len(parts) == 1 else (b"".join([long[p][0] for p in parts]), min([long[p][1] for p in parts])) for parts in cut]
+        long = {chunk: self.lattice.parts(chunk.replace(" ", BLANK)) for chunk in chunks if len(chunk) > SHORT}
+        short = iter(self._of_parts([chunk for chunk in chunks if len(chunk) <= SHORT]))
+        if not long:
+            return list(short)
+        known = self.parts.of(chain.from_iterable(long.values()))
+        return [(b"".join([known[p][0] for p in long[c]]), min([known[p][1] for p in long[c]])) if c in long else next(short) for c in chunks]
 
     def segment(self, text: str) -> tuple[np.ndarray, list[tuple[float, np.ndarray]]]:
         """Ids of the best segmentation, and the N best as (score, ids)."""
